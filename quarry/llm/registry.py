@@ -6,14 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quarry.llm import linededup
+from quarry.llm.decontam import op4_decontamination
 from quarry.llm.langid import op7_language_id
+from quarry.llm.linededup import op9_line_dedup
+from quarry.llm.packing import op6_best_fit_packing
 from quarry.llm.quality import op2_quality
 from quarry.llm.toxicity import op1_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_quality": op2_quality,
+    "op4_decontamination": op4_decontamination,
+    "op6_best_fit_packing": op6_best_fit_packing,
     "op7_language_id": op7_language_id,
+    "op9_line_dedup": op9_line_dedup,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op9_line_dedup": linededup.sql_pages(),
+}
