@@ -8,7 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quarry.llm import linededup
 from quarry.llm.decontam import op4_decontamination
+from quarry.llm.embeddings import op3_embedding_near_dedup
+from quarry.llm.jaccard import op5_ngram_jaccard_join
 from quarry.llm.langid import op7_language_id
+from quarry.llm.langmodel import op8_language_model
 from quarry.llm.linededup import op9_line_dedup
 from quarry.llm.packing import op6_best_fit_packing
 from quarry.llm.quality import op2_quality
@@ -17,9 +20,12 @@ from quarry.llm.toxicity import op1_toxicity
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_quality": op2_quality,
+    "op3_embedding_near_dedup": op3_embedding_near_dedup,
     "op4_decontamination": op4_decontamination,
+    "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_language_id": op7_language_id,
+    "op8_language_model": op8_language_model,
     "op9_line_dedup": op9_line_dedup,
 }
 
