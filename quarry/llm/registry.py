@@ -14,6 +14,7 @@ from quarry.llm.langid import op7_language_id
 from quarry.llm.langmodel import op8_language_model
 from quarry.llm.linededup import op9_line_dedup
 from quarry.llm.packing import op6_best_fit_packing
+from quarry.llm.pii import op10_pii
 from quarry.llm.quality import op2_quality
 from quarry.llm.toxicity import op1_toxicity
 
@@ -27,6 +28,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_language_id": op7_language_id,
     "op8_language_model": op8_language_model,
     "op9_line_dedup": op9_line_dedup,
+    "op10_pii": op10_pii,
 }
 
 ORACLE_SQL: dict[str, str] = {
