@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import uuid
 from collections.abc import Iterator
@@ -48,7 +49,12 @@ def materialise(df: DataFrame, label: str = "step") -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/quarry/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    # the driver's garbage holds the shuffle files of what is now written; Spark deletes them when it is collected
+    del df
+    gc.collect()
+    spark._jvm.System.gc()
+    return out
 
 
 def discard(df: DataFrame) -> None:
@@ -80,6 +86,25 @@ def bounded_sample(df: DataFrame, key: str, limit: int, total: int | None = None
     return df.where(F.pmod(F.xxhash64(F.col(key)), F.lit(1 << 30)) < share)
 
 
+def commonest(df: DataFrame, most: int, n: str = "n", rows: Column | None = None) -> DataFrame:
+    """The rows with the largest `n` (at least 1), as many as stay within `most` together; ties are all in or all out.
+
+    `rows` says for how many each row counts. The cut is found on a histogram of a few hundred bins: unlike a
+    sort with a large limit, nothing but that reaches the driver.
+    """
+    level = F.floor(F.log2(n) * 16)
+    counted = df.groupBy(level.alias("level")).agg(F.sum(F.lit(1) if rows is None else rows).alias("rows")).collect()
+    total, cut = 0, None
+    for r in sorted(counted, key=lambda r: -r["level"]):
+        total += r["rows"]
+        if total > most:
+            break
+        cut = r["level"]
+    if total <= most:
+        return df
+    return df.where(level >= cut) if cut is not None else df.limit(0)
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of a string column end to end and the n+1 offsets; null counts as empty."""
     column = pc.fill_null(column.cast(pa.large_string()), "")

@@ -33,7 +33,9 @@ from pyspark.sql import functions as F
 from quarry.llm import common
 from quarry.llm.graph import components
 
+#: Rows that may be broadcast (8 and about 40 bytes each); beyond them the same joins shuffle.
 BROADCAST_IDS = 2_000_000
+BROADCAST_SPOTS = 2_000_000
 
 
 def sets(data: np.ndarray, bounds: np.ndarray, width: int) -> Iterator[np.ndarray]:
@@ -67,7 +69,7 @@ def frequent(docs: DataFrame, width: int, most: int) -> tuple[np.ndarray, np.nda
             yield pa.RecordBatch.from_arrays([pa.array(hashes[keep].view(np.int64)), pa.array(n[keep].astype(np.int64))], names=["h", "n"])
 
     counted = docs.select("text").mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-    got = counted.orderBy(F.desc("n"), "h").limit(most).toPandas()
+    got = common.commonest(counted, most).toPandas()
     h, n = got["h"].to_numpy(dtype=np.int64).view(np.uint64), got["n"].to_numpy(dtype=np.int64)
     order = np.argsort(h)
     return h[order], n[order]
@@ -81,6 +83,10 @@ def ordered(s: np.ndarray, heavy: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return s[np.lexsort((s, np.where(heavy[at] == s, counts[at], 0)))]
 
 
+def _sets_batch(out: dict[str, list], names: list[str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(out[c], pa.binary() if c == "set" else pa.int64()) for c in names], names=names)
+
+
 def _block_edges(num: int, den: int):
     """Edges of a spanning forest of the links within a group of documents (node, size, set)."""
 
@@ -145,25 +151,40 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int =
 
     placed = common.materialise(given.mapInArrow(place, f"id {kind}, n long, node long, pivots array<bigint>"), "jaccard-placed")
     linkable = placed.where("n > 0 and id is not null")
-    classes = common.materialise(linkable.groupBy("node").agg(F.min("id").alias("rep"), F.min("n").alias("n"), F.first("pivots").alias("pivots")), "jaccard-classes")
+    classes = common.materialise(linkable.groupBy("node").agg(F.min("id").alias("rep"), F.min(F.get("pivots", F.lit(0))).alias("region")), "jaccard-classes")
 
-    def with_sets(rows: DataFrame) -> DataFrame:
-        """`rows` (node, ...) with the sets of their documents, computed anew from the texts."""
-        wanted = rows.select("node").distinct().join(classes.select("node", F.col("rep").alias("id")), "node").select("id")
-        few = wanted.count() <= BROADCAST_IDS
-        texts = given.join(F.broadcast(wanted) if few else wanted, "id", "left_semi")
+    def linked(rows: DataFrame, by: list[str]) -> DataFrame:
+        """Edges between nodes within groups of `rows` (by, node). Texts are read again for the sets of these nodes
+        only; the sets are shuffled once, straight to their groups."""
+        spots = rows.join(classes.select("node", F.col("rep").alias("id")), "node").groupBy("id", "node").agg(F.collect_list(F.struct(*by)).alias("at"))
+        spots = common.materialise(spots, "jaccard-spots")
+        n = spots.agg(F.coalesce(F.sum(F.size("at") + 1), F.lit(0)).alias("n")).first()["n"]
+        texts = given.join(F.broadcast(spots) if n <= BROADCAST_SPOTS else spots, "id").select("text", "node", "at")
+        names = [*by, "node", "set"]
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                every = [*sets(*common.utf8(batch.column(0)), width)]
-                yield pa.RecordBatch.from_arrays([pa.array([set_key(s) for s in every], pa.int64()), pa.array([s.tobytes() for s in every], pa.binary())], names=["node", "set"])
-
-        found = texts.select("text").mapInArrow(run, "node long, set binary").dropDuplicates(["node"])
-        return rows.join(found, "node")
-
-    def linked(rows: DataFrame, by: list[str]) -> DataFrame:
-        """Edges between nodes within groups of `rows` (by, node)."""
-        return with_sets(rows).groupBy(*by).applyInPandas(_block_edges(percent, 100), "a long, b long")
+                out: dict[str, list] = {c: [] for c in names}
+                held = 0
+                for s, node, at in zip(sets(*common.utf8(batch.column(0)), width), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                    if set_key(s) != node:  # another text of the same id
+                        continue
+                    raw = s.tobytes()
+                    for spot in at:
+                        for c in by:
+                            out[c].append(spot[c])
+                        out["node"].append(node)
+                        out["set"].append(raw)
+                        held += len(raw)
+                        if held > 8 << 20:
+                            yield _sets_batch(out, names)
+                            out, held = {c: [] for c in names}, 0
+                yield _sets_batch(out, names)
+
+        placed_sets = texts.mapInArrow(run, ", ".join(f"{c} long" for c in names[:-1]) + ", set binary")
+        found = common.materialise(placed_sets.groupBy(*by).applyInPandas(_block_edges(percent, 100), "a long, b long"), "jaccard-edges")
+        common.discard(spots)
+        return found
 
     def labels(edges: DataFrame) -> DataFrame:
         return common.materialise(components(edges, "jaccard-components"), "jaccard-labels")
@@ -172,27 +193,31 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int =
         return rows.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
     # round 0: own regions, dealt out as blocks
-    own = classes.select("node", F.get("pivots", F.lit(0)).alias("region"))
+    own = classes.select("node", "region")
     busy = own.groupBy("region").agg(F.count("*").alias("m")).where("m > 1")
     blocks = own.join(busy, "region").withColumn("part", F.pmod(F.xxhash64("node"), F.ceil(F.col("m") / block)))
-    edges = common.materialise(linked(common.materialise(blocks.select("region", "part", "node"), "jaccard-blocks"), ["region", "part"]), "jaccard-edges")
+    edges = linked(blocks.select("region", "part", "node"), ["region", "part"])
     # round 1: a document for each component of a region
     label = labels(edges)
     heads = labelled(own, label).groupBy("region", "component").agg(F.min("node").alias("node"))
     several = heads.groupBy("region").agg(F.count("*").alias("m")).where("m > 1")
     blocks = heads.join(several, "region").withColumn("part", F.pmod(F.xxhash64("node", F.lit(1)), F.ceil(F.col("m") / block)))
-    more = common.materialise(linked(common.materialise(blocks.select("region", "part", "node"), "jaccard-blocks"), ["region", "part"]), "jaccard-edges")
-    edges = edges.unionByName(more)
-    # round 2: all replicas in regions with several components
+    edges = edges.unionByName(linked(blocks.select("region", "part", "node"), ["region", "part"]))
+    # round 2: all replicas in regions with several components. Most regions hold one document alone: 32-bit hashes
+    # find those that may hold more, at a fraction of the bytes, and exact keys decide among the rest
     label = labels(edges)
-    replicas = labelled(classes.select("node", "n", "pivots"), label).select("node", "component", F.explode("pivots").alias("region"))
-    open_ = replicas.groupBy("region").agg(
+    replicas = linkable.select("node", F.explode("pivots").alias("region")).withColumn("r", F.hash("region"))
+    maybe = replicas.select("r", F.hash("node").alias("h")).groupBy("r").agg(F.min("h").alias("low"), F.max("h").alias("high")).where("low <> high").select("r")
+    maybe = common.materialise(maybe, "jaccard-maybe")
+    few = maybe.count() <= BROADCAST_IDS
+    shared = replicas.join(F.broadcast(maybe) if few else maybe, "r", "left_semi").select("region", "node").distinct()
+    shared = common.materialise(labelled(shared, label), "jaccard-shared")
+    open_ = shared.groupBy("region").agg(
         F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("m"), F.bit_xor(F.xxhash64("node")).alias("x"), F.min("node").alias("first")
     ).where("low <> high")
     # regions of the same documents are one
-    open_ = common.materialise(open_.groupBy("m", "x", "first").agg(F.min("region").alias("region")).select("region"), "jaccard-open")
-    few = open_.count() <= BROADCAST_IDS
-    members = common.materialise(replicas.join(F.broadcast(open_) if few else open_, "region"), "jaccard-members")
+    open_ = open_.groupBy("m", "x", "first").agg(F.min("region").alias("region")).select("region")
+    members = common.materialise(shared.join(open_, "region", "left_semi"), "jaccard-members")
     per = members.groupBy("region", "component").agg(F.count("*").alias("k"))
     giant = per.groupBy("region").agg(F.max(F.struct("k", "component")).alias("g"), F.sum("k").alias("m")).select("region", "m", F.col("g.component").alias("giant"), F.col("g.k").alias("k"))
     # the largest component of a region has blocks of its own if it fills one; the others share blocks
@@ -200,14 +225,13 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int =
     dealt = members.join(giant, "region").withColumn("main", (F.col("component") == F.col("giant")) & (F.col("k") > half))
     rest = F.when(F.col("k") > half, F.col("m") - F.col("k")).otherwise(F.col("m"))
     dealt = dealt.withColumn("part", F.when(F.col("main"), -1 - F.pmod(F.xxhash64("node"), F.ceil(F.col("k") / half))).otherwise(F.pmod(F.xxhash64("node"), F.ceil(rest / half))))
-    dealt = common.materialise(dealt.select("region", "part", "node"), "jaccard-dealt")
+    dealt = common.materialise(dealt.select("region", F.col("part").cast("long").alias("part"), "node"), "jaccard-dealt")
     parts = dealt.select("region", "part").distinct()
     free = parts.where("part >= 0").select("region", F.col("part").alias("other"))
     pairs = parts.join(free, "region").where("part <= other")
     twice = pairs.select("region", "other", F.col("part").alias("low"), F.explode(F.array_distinct(F.array("part", "other"))).alias("part"))
     rows = dealt.join(twice, ["region", "part"]).select("region", "low", "other", "node")
-    last = common.materialise(linked(rows, ["region", "low", "other"]), "jaccard-edges")
-    label = labels(edges.unionByName(last))
+    label = labels(edges.unionByName(linked(rows, ["region", "low", "other"])))
     # from classes to documents
     named = labelled(classes.select("node", "rep"), label)
     smallest = named.groupBy("component").agg(F.min("rep").alias("component_id"))

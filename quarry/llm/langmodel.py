@@ -31,12 +31,9 @@ from quarry.llm import common
 END = 0xFF  # never a byte of UTF-8: pads the first contexts and ends a text
 SPACE = 0x20
 END_TOKEN = 1  # stands for the hash of the end token
-LN10 = float(np.log(10))
-
-# lgamma by recurrence and Stirling's series, vectorised
-
 
 def _lgamma(x: np.ndarray) -> np.ndarray:
+    """By recurrence up to 8, then Stirling's series."""
     x = np.asarray(x, dtype=np.float64)
     shift, low = np.zeros_like(x), x.copy()
     for _ in range(8):
@@ -180,7 +177,7 @@ def build(levels: list[tuple[np.ndarray, np.ndarray]], known: int) -> TreeModel:
             parent = node_key(keys[d] >> np.uint64(8), d - 1, keys[d] & np.uint64(255))
             at = np.minimum(np.searchsorted(keys[d - 1], parent), max(0, len(keys[d - 1]) - 1))
             g, m = gathered[at], left[at]
-        final.append(g + m * estimate)
+        final.append((g + m * estimate).astype(np.float32))
         gathered, left = g + m * share[d] * estimate, m * (1 - share[d])
     model = TreeModel(depth, tuple(keys), tuple(final), np.zeros(0, np.uint64), np.zeros(0))
     codes, counts = levels[depth]
@@ -224,17 +221,12 @@ def _level(grams: DataFrame, d: int, most: int) -> tuple[np.ndarray, np.ndarray]
     """Counts of grams of d + 1 bytes in the commonest contexts, as many whole contexts as have `most` grams at most."""
     level = grams.groupBy(F.col("code").bitwiseAND(F.lit((1 << (8 * (d + 1))) - 1)).alias("code")).agg(F.sum("n").alias("n"))
     level = level.withColumn("context", F.shiftright("code", 8))
+    level = common.materialise(level, "lm-level")
     contexts = level.groupBy("context").agg(F.sum("n").alias("total"), F.count("*").alias("k"))
-    top = contexts.orderBy(F.desc("total"), "context").limit(most).toPandas()
-    kept = top[top["k"].cumsum() <= most]
-    if not len(kept):
-        return np.zeros(0, np.uint64), np.zeros(0)
-    if len(kept) == len(top) < most:
-        return _collect(level)
-    last = kept.iloc[-1]
-    total, context = F.lit(int(last["total"])), F.lit(int(last["context"]))
-    chosen = contexts.where((F.col("total") > total) | ((F.col("total") == total) & (F.col("context") <= context)))
-    return _collect(level.join(chosen.select("context"), "context", "left_semi"))
+    chosen = common.commonest(contexts, most, "total", F.col("k"))
+    out = _collect(level.join(chosen.select("context"), "context", "left_semi").select("code", "n"))
+    common.discard(level)
+    return out
 
 
 @dataclass(frozen=True)
@@ -243,7 +235,7 @@ class WordCounts:
     counts: np.ndarray
 
 
-def score(docs: DataFrame, training: DataFrame, key: str = "doc_id", text: str = "text", depth: int = 5, most: int = 300_000, most_words: int = 500_000) -> DataFrame:
+def score(docs: DataFrame, training: DataFrame, key: str = "doc_id", text: str = "text", depth: int = 5, most: int = 200_000, most_words: int = 300_000) -> DataFrame:
     """(key, n_tokens, n_known, train_tokens, base_score, score) for each row of `docs`.
 
     `most` bounds the rows of the tree for each depth, `most_words` the tokens that are broadcast; neither drops a
@@ -262,7 +254,7 @@ def score(docs: DataFrame, training: DataFrame, key: str = "doc_id", text: str =
     words = counted.where("kind = 1").select("code", "n")
     size = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     total, distinct = int(size["n"]), int(size["v"])
-    codes, n = _collect(words.orderBy(F.desc("n"), "code").limit(most_words))
+    codes, n = _collect(common.commonest(words, most_words))
     order = np.argsort(codes)
     common_words = spark.sparkContext.broadcast(WordCounts(codes[order], n[order]))
     floor = float(np.log10(total + distinct + 1)) if total + distinct + 1 > 0 else 0.0
