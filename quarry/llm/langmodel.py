@@ -235,7 +235,7 @@ class WordCounts:
     counts: np.ndarray
 
 
-def score(docs: DataFrame, training: DataFrame, key: str = "doc_id", text: str = "text", depth: int = 5, most: int = 200_000, most_words: int = 300_000) -> DataFrame:
+def score(docs: DataFrame, training: DataFrame, key: str = "doc_id", text: str = "text", depth: int = 6, most: int = 300_000, most_words: int = 300_000) -> DataFrame:
     """(key, n_tokens, n_known, train_tokens, base_score, score) for each row of `docs`.
 
     `most` bounds the rows of the tree for each depth, `most_words` the tokens that are broadcast; neither drops a
