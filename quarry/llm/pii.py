@@ -29,8 +29,8 @@ EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Z
 IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?:[\x20-]?[0-9]){12,}+"  # shorter ones fail the check of digits in any case
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-#: Tokens that may be identifiers: five characters or more; three digits are asked for later.
-TOKEN = r"(?<![^\x20\x09-\x0D\"'(=:\[<])[A-Za-z0-9][A-Za-z0-9_@./+-]{3,}(?<=[A-Za-z0-9])(?![A-Za-z0-9_@/+-])"
+#: Tokens that may be identifiers: four characters or more and a digit; three digits are asked for later.
+TOKEN = r"(?<![^\x20\x09-\x0D\"'(=:\[<])(?=[A-Za-z_@./+-]*+[0-9])[A-Za-z0-9][A-Za-z0-9_@./+-]{3,}(?<=[A-Za-z0-9])(?![A-Za-z0-9_@/+-])"
 
 SPAN = "struct<s: int, e: int, m: string, left: string>"
 
@@ -127,6 +127,10 @@ def _written(spans: Column, kind: str) -> Column:
     return F.transform(F.array_sort(spans), lambda x: F.concat_ws(":", F.lit(kind), x["s"].cast("string"), x["e"].cast("string")))
 
 
+def _of_kind(n: int):
+    return lambda x: x["k"] == n
+
+
 def extract(docs: DataFrame, key: str = "doc_id", text: str = "text", rounds: int = 3, support: int = 3, trust: float = 0.6) -> DataFrame:
     """(key, email, ip, card, phone, new): arrays of spans for each row; `new` has the kind's number with each span."""
     scanned = common.materialise(scan(docs, key, text), "pii-scan")
@@ -144,7 +148,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     both = []
     for n, k in enumerate(KINDS):
         plain = F.transform(F.col(k), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e")))
-        more = F.transform(F.filter("new", lambda x, n=n: x["k"] == n), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e")))
+        more = F.transform(F.filter("new", _of_kind(n)), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e")))
         both.append(_written(F.array_distinct(F.concat(plain, more)), k))
     counts = [F.size(k).cast("long").alias(f"n_{k}") for k in KINDS]
     return found.select("doc_id", *counts, F.sha2(F.array_join(base, ",").cast("binary"), 256).alias("base_sha256"), F.array_join(F.concat(*both), ",").alias("spans"))
