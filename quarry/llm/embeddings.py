@@ -9,21 +9,24 @@ non-finite component, and those without a label, link with nothing: they are com
 unequal length never link. Repeated ids: each row counts as a vector, and the result has a row for each.
 
 A bucket of any size is dealt out as blocks of `block` classes, and each pair of blocks is a group of its own, so no
-task holds more than two blocks. Every pair in a bucket is compared; the recall of the tables is that of the planes:
+task holds more than two blocks at a time. Every pair in a bucket is compared; the recall of the tables is that of the planes:
 at cosine c a pair meets in a table with probability (1 - acos(c) / pi) ** planes.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm import common
 from quarry.llm.graph import components
 
-TABLES, PLANES = 24, 14
+TABLES, PLANES = 30, 18
 
 
 def planes(dimension: int, tables: int, bits: int, seed: int = 20240607) -> np.ndarray:
@@ -33,7 +36,7 @@ def planes(dimension: int, tables: int, bits: int, seed: int = 20240607) -> np.n
 def signatures(x: np.ndarray, tables: int, bits: int) -> np.ndarray:
     """An integer for each vector and table."""
     sign = (x @ planes(x.shape[1], tables, bits) > 0).reshape(len(x), tables, bits)
-    return (sign * (1 << np.arange(bits, dtype=np.int64))).sum(2)
+    return (sign * (1 << np.arange(bits, dtype=np.int64))).sum(2).astype(np.int32)
 
 
 def _forest(n: int, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -51,53 +54,70 @@ def _forest(n: int, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return at, root[at]
 
 
-def _compare(least: float):
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        """Links within a block (left == right) or between two, of one bucket."""
-        left, right = group[group["side"] < 2], group[group["side"] > 0]
-        same = group["side"].iloc[0] == 1
-        left, right = (group, group) if same else (left, right)
-        none = pd.DataFrame({"a": [], "b": [], "n": []}).astype("int64")
-        if not len(left) or not len(right):
-            return none
-        x, y = (np.array(f["v"].tolist(), dtype=np.float64) for f in (left, right))
-        s, t = (np.array(f["signs"].tolist(), dtype=np.int64) for f in (left, right))
-        a, b = left["id"].to_numpy(), right["id"].to_numpy()
-        m, k = left["n"].to_numpy(), right["n"].to_numpy()
-        number = int(group["tbl"].iloc[0])
-        x, y = (v / np.sqrt((v * v).sum(1, keepdims=True)) for v in (x, y))
-        count_a, count_b, ends = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64), []
-        for p in range(0, len(a), 256):
-            i, j = np.nonzero(x[p : p + 256] @ y.T >= least - 1e-9)
-            i += p
-            keep = (i < j) if same else np.ones(len(i), bool)
-            i, j = i[keep], j[keep]
-            exact = np.einsum("ij,ij->i", x[i], y[j]) >= least
-            i, j = i[exact], j[exact]
-            for e in range(number):
-                first = s[i, e] != t[j, e]
-                i, j = i[first], j[first]
-            np.add.at(count_a, i, k[j])
-            np.add.at(count_b, j, m[i])
-            ends.append((i, j))
-        i, j = (np.concatenate(e) for e in zip(*ends))
-        if not len(i):
-            return none
+def _group(least: float, table: int, side: np.ndarray, ids: np.ndarray, members: np.ndarray, x: np.ndarray, signs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+    """Links within a block (side 1) or between two (0 and 2) of one bucket: forest edges (a, b) and counts (a, -1, n)."""
+    same = bool(side[0] == 1)
+    left, right = (np.arange(len(ids)),) * 2 if same else (np.flatnonzero(side == 0), np.flatnonzero(side == 2))
+    if not len(left) or not len(right) or len(ids) < 2:
+        return None
+    y = x[right]
+    found_i, found_j = [], []
+    for p in range(0, len(left), 256):
+        i, j = np.nonzero(x[left[p : p + 256]] @ y.T >= least - 1e-9)
+        i, j = left[i + p], right[j]
         if same:
-            count_a = count_a + count_b
-            at, root = _forest(len(a), i, j)
-            edges = (a[at], a[root])
-            counted = (a, count_a)
-        else:
-            at, root = _forest(len(a) + len(b), i, j + len(a))
-            both = np.concatenate([a, b])
-            edges = (both[at], both[root])
-            counted = (both, np.concatenate([count_a, count_b]))
-        some = counted[1] > 0
-        return pd.DataFrame({
-            "a": np.concatenate([edges[0], counted[0][some]]), "b": np.concatenate([edges[1], np.full(some.sum(), -1)]),
-            "n": np.concatenate([np.zeros(len(edges[0]), np.int64), counted[1][some]]),
-        })
+            i, j = i[i < j], j[i < j]
+        exact = np.einsum("ij,ij->i", x[i], x[j]) >= least
+        i, j = i[exact], j[exact]
+        if table and len(i):  # a pair that met in an earlier table belongs there
+            first = (signs[i, :table] != signs[j, :table]).all(1)
+            i, j = i[first], j[first]
+        found_i.append(i)
+        found_j.append(j)
+    i, j = np.concatenate(found_i), np.concatenate(found_j)
+    if not len(i):
+        return None
+    n = np.bincount(i, weights=members[j], minlength=len(ids)) + np.bincount(j, weights=members[i], minlength=len(ids))
+    child, root = _forest(len(ids), i, j)
+    some = np.flatnonzero(n)
+    return np.concatenate([ids[child], ids[some]]), np.concatenate([ids[root], np.full(len(some), -1)]), np.concatenate([np.zeros(len(child)), n[some]])
+
+
+def _compare(least: float, tables: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Buckets' blocks one after another, in a stream that is sorted by their keys; the last may go on in the next batch."""
+        held: pa.Table | None = None
+
+        def compared(rows: pa.Table) -> pa.RecordBatch:
+            rows = rows.combine_chunks()
+            column = lambda c: rows[c].chunk(0)
+            ends = pc.run_end_encode(column("key")).run_ends.to_numpy()
+            table, side, ids, members = (column(c).to_numpy() for c in ("tbl", "side", "id", "n"))
+            vector, signs = column("v"), column("signs").flatten().to_numpy().reshape(len(rows), tables)
+            at, flat = vector.offsets.to_numpy() - vector.offsets[0].as_py(), vector.flatten().to_numpy().astype(np.float64)
+            out = []
+            for s, e in zip([0, *ends[:-1]], ends, strict=True):
+                x = flat[at[s] : at[e]].reshape(e - s, -1)
+                x = x / np.sqrt((x * x).sum(1, keepdims=True))
+                if (got := _group(least, int(table[s]), side[s:e], ids[s:e], members[s:e], x, signs[s:e])) is not None:
+                    out.append(got)
+            a, b, n = (np.concatenate(z).astype(np.int64) for z in zip(*out, strict=True)) if out else (np.zeros(0, np.int64),) * 3
+            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(n)], names=["a", "b", "n"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = pa.Table.from_batches([batch])
+            rows = rows if held is None else pa.concat_tables([held, rows])
+            keys = rows["key"].combine_chunks()
+            keys = keys.chunk(0) if isinstance(keys, pa.ChunkedArray) else keys
+            ends = pc.run_end_encode(keys).run_ends.to_numpy()
+            cut = int(ends[-2]) if len(ends) > 1 else 0
+            if cut:
+                yield compared(rows.slice(0, cut))
+            held = rows.slice(cut)
+        if held is not None and held.num_rows:
+            yield compared(held)
 
     return run
 
@@ -107,12 +127,13 @@ def link(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", lab
     """(key, n_links, component_id, kept) for every row; `kept` marks the smallest id of a component."""
     spark = vectors.sparkSession
     common.bound_batches(spark)
-    given = vectors.select(F.col(key).alias("id"), F.col(vector).cast("array<double>").alias("v"), F.col(label).alias("label"))
+    given = vectors.select(F.col(key).alias("id"), F.col(vector).alias("v"), F.col(label).alias("label"))
+    element = given.schema["v"].dataType.elementType
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
     fit = F.col("id").isNotNull() & F.col("label").isNotNull() & F.col("v").isNotNull() & finite & F.exists("v", lambda x: x != 0)
     given = given.withColumn("fit", F.coalesce(fit, F.lit(False)))
     # -0.0 and 0.0 are one number
-    usable = given.where("fit").select("id", "label", F.transform("v", lambda x: x + F.lit(0.0)).alias("v"))
+    usable = given.where("fit").select("id", "label", F.transform("v", lambda x: F.when(x == 0, F.lit(0).cast(element)).otherwise(x)).alias("v"))
     classes = usable.groupBy("label", "v").agg(F.min("id").alias("rep"), F.count("*").alias("n"))
     classes = common.materialise(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
 
@@ -127,7 +148,7 @@ def link(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", lab
                     signs[i] = row
             yield part.assign(signs=signs)
 
-    signed = classes.mapInPandas(sign, ", ".join(f"{c} {t}" for c, t in classes.dtypes) + ", signs array<bigint>")
+    signed = classes.mapInPandas(sign, ", ".join(f"{c} {t}" for c, t in classes.dtypes) + ", signs array<int>")
     signed = common.materialise(signed, "signed")
     size = F.size("v").alias("d")
     places = signed.select("id", "label", size, F.posexplode("signs").alias("tbl", "sig"))
@@ -139,9 +160,11 @@ def link(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", lab
     # block pairs (low, high) that this row is in: side 0 as low, 2 as high, 1 alone with its own block
     pair = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda o: F.struct(F.least("own", o).alias("low"), F.greatest("own", o).alias("high"), F.when(o == F.col("own"), 1).when(F.col("own") < o, 0).otherwise(2).alias("side")))
     placed = placed.select("id", "label", "d", "tbl", "sig", F.inline(pair))
+    bucket = F.concat_ws("|", F.col("label").cast("string"), "d", "tbl", "sig", "low", "high")
+    placed = placed.select("id", "label", "tbl", F.col("side").cast("int").alias("side"), bucket.alias("key"))
     rows = placed.join(signed.select("id", "label", "v", "signs", "n"), ["id", "label"])
-    found = rows.groupBy("label", "d", "tbl", "sig", "low", "high").applyInPandas(_compare(least), "a long, b long, n long")
-    found = common.materialise(found, "links")
+    rows = rows.select("key", "tbl", "side", "id", "n", "v", "signs").repartition("key").sortWithinPartitions("key")
+    found = common.materialise(rows.mapInArrow(_compare(least, tables), "a long, b long, n long"), "links")
     linked = components(found.where("b >= 0 and a <> b").select("a", "b"))
     counts = found.where("b < 0").groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("links"))
     per_class = classes.join(counts.withColumnRenamed("rep", "id"), "id", "left").join(linked.withColumnRenamed("node", "id"), "id", "left")
