@@ -9,8 +9,8 @@ regions a boundary document is replicated, and no linked pair is lost, whatever
 Regions are joined recursively, with components carried from one round to the next:
   0. each document in its own region only, in blocks;
   1. one document for each component of a region that still has several, in blocks;
-  2. all replicas, in regions that still have several components: all pairs of blocks, but for pairs of blocks of one
-     component.
+  2. all replicas, in regions that still have several components: as one block where the documents that meet in any such
+     region are few, else region by region, all pairs of blocks but for those within one component.
 Within a block, exact intersections of all pairs are counted; only a spanning forest leaves it. Documents of equal
 sets are one class from the start, so exact copies cost nothing. A region of any size is dealt out as blocks.
 
@@ -159,6 +159,8 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int =
         spots = rows.join(classes.select("node", F.col("rep").alias("id")), "node").groupBy("id", "node").agg(F.collect_list(F.struct(*by)).alias("at"))
         spots = common.materialise(spots, "jaccard-spots")
         n = spots.agg(F.coalesce(F.sum(F.size("at") + 1), F.lit(0)).alias("n")).first()["n"]
+        if not n:
+            return spark.createDataFrame([], "a long, b long")
         texts = given.join(F.broadcast(spots) if n <= BROADCAST_SPOTS else spots, "id").select("text", "node", "at")
         names = [*by, "node", "set"]
 
@@ -218,6 +220,14 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int =
     # regions of the same documents are one
     open_ = open_.groupBy("m", "x", "first").agg(F.min("region").alias("region")).select("region")
     members = common.materialise(shared.join(open_, "region", "left_semi"), "jaccard-members")
+    # documents that meet in any open region: a small cluster of them is joined as one block, each set sent once
+    star = members.groupBy("region").agg(F.min("node").alias("a"))
+    met = members.join(star, "region").select("a", F.col("node").alias("b")).distinct()
+    clusters = common.materialise(components(met, "jaccard-components").withColumnRenamed("component", "cluster"), "jaccard-clusters")
+    small = clusters.groupBy("cluster").agg(F.count("*").alias("m")).where(F.col("m") <= block).select("cluster")
+    rows = clusters.join(small, "cluster").select("node", "cluster")
+    edges = edges.unionByName(linked(rows, ["cluster"]))
+    members = members.join(rows.select("node"), "node", "left_anti")
     per = members.groupBy("region", "component").agg(F.count("*").alias("k"))
     giant = per.groupBy("region").agg(F.max(F.struct("k", "component")).alias("g"), F.sum("k").alias("m")).select("region", "m", F.col("g.component").alias("giant"), F.col("g.k").alias("k"))
     # the largest component of a region has blocks of its own if it fills one; the others share blocks
