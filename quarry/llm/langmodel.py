@@ -217,16 +217,24 @@ def _collect(df: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return got["code"].to_numpy(dtype=np.int64).view(np.uint64), got["n"].to_numpy(dtype=np.float64)
 
 
-def _level(grams: DataFrame, d: int, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """Counts of grams of d + 1 bytes in the commonest contexts, as many whole contexts as have `most` grams at most."""
-    level = grams.groupBy(F.col("code").bitwiseAND(F.lit((1 << (8 * (d + 1))) - 1)).alias("code")).agg(F.sum("n").alias("n"))
-    level = level.withColumn("context", F.shiftright("code", 8))
-    level = common.materialise(level, "lm-level")
-    contexts = level.groupBy("context").agg(F.sum("n").alias("total"), F.count("*").alias("k"))
-    chosen = common.commonest(contexts, most, "total", F.col("k"))
-    out = _collect(level.join(chosen.select("context"), "context", "left_semi").select("code", "n"))
-    common.discard(level)
-    return out
+def _levels(grams: DataFrame, depth: int, most: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Counts of grams in the commonest contexts of each depth, as many whole contexts as have `most` grams at most.
+
+    Each depth is summed from the one below it, so the work falls off with the depth.
+    """
+    out, level = [], grams.select("code", "n")
+    for d in range(depth, -1, -1):
+        if d < depth:
+            shorter = level.groupBy(F.col("code").bitwiseAND(F.lit((1 << (8 * (d + 1))) - 1)).alias("code")).agg(F.sum("n").alias("n"))
+            shorter = common.materialise(shorter, "lm-level")
+            if d < depth - 1:
+                common.discard(level)
+            level = shorter
+        context = F.shiftright("code", 8)
+        contexts = level.groupBy(context.alias("context")).agg(F.sum("n").alias("total"), F.count("*").alias("k"))
+        chosen = common.commonest(contexts, most, "total", F.col("k")).select("context")  # `most` rows at most
+        out.append(_collect(level.join(F.broadcast(chosen), context == F.col("context"), "left_semi")))
+    return out[::-1]
 
 
 @dataclass(frozen=True)
@@ -245,7 +253,7 @@ def score(docs: DataFrame, training: DataFrame, key: str = "doc_id", text: str =
     common.bound_batches(spark)
     counted = common.materialise(count(training.select(F.col(text).alias("text")), depth), "lm-counts")
     grams = counted.where("kind = 0")
-    levels = [_level(grams, d, most) for d in range(depth + 1)]
+    levels = _levels(grams, depth, most)
     for d in range(1, depth + 1):  # a context needs its parent in the tree
         codes, n = levels[d]
         ok = np.isin((codes >> np.uint64(8)) & np.uint64((1 << (8 * (d - 1))) - 1), levels[d - 1][0] >> np.uint64(8))
