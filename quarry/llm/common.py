@@ -40,7 +40,6 @@ def shared_dir(spark: SparkSession) -> str:
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
         where = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
-        spark.conf.set("spark.checkpoint.dir", where)
     return where.rstrip("/")
 
 

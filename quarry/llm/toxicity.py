@@ -125,16 +125,17 @@ def _counts(df: DataFrame, wanted: frozenset[str] | None) -> DataFrame:
     return df.select("text").mapInArrow(run, "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
 
 
-def _phrases(df: DataFrame, words: frozenset[str]) -> DataFrame:
-    """(phrase, label, n documents) of two words of which one is a lexicon word."""
-    held = df.sparkSession.sparkContext.broadcast(words)
+def _phrases(df: DataFrame, terms: frozenset[str]) -> DataFrame:
+    """(phrase, label, n documents) of two words of which one has a lexicon term."""
+    held = df.sparkSession.sparkContext.broadcast(terms)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             seen: Counter[tuple[str, int]] = Counter()
             for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 w = fold(text or "").split()
-                seen.update({(f"{a} {b}", label) for a, b in zip(w, w[1:], strict=False) if a in held.value or b in held.value})
+                hit = {x for x in set(w) if f" {x} " in held.value or any(f" {x[:k]}" in held.value for k in PREFIX_LENGTHS)}
+                seen.update({(f"{a} {b}", label) for a, b in zip(w, w[1:], strict=False) if a in hit or b in hit})
             yield pa.RecordBatch.from_arrays(
                 [pa.array([k[0] for k in seen], pa.string()), pa.array([k[1] for k in seen], pa.int64()), pa.array(list(seen.values()), pa.int64())],
                 names=["phrase", "label", "n"],
@@ -170,10 +171,9 @@ def fit(df: DataFrame, min_documents: int = 5, least_odds: float = 2.5, max_term
         if not any(f" {w} "[: k + 1] in weights for k in range(4, len(w) + 2)):
             known = clean.get(f" {w} ", 0)
             weights[f" {w} "] = max(0.1, SEED_WEIGHT - np.log1p(known))
-    words = frozenset(t.strip() for t in weights if t.endswith(" "))
     learnt = ()
-    if n0 and words:
-        counted = _phrases(rows, words).groupBy("phrase").agg(F.coalesce(F.sum(F.expr("n * int(label = 0)")), F.lit(0)).alias("clean"), F.coalesce(F.sum(F.expr("n * int(label = 1)")), F.lit(0)).alias("toxic"))
+    if n0 and weights:
+        counted = _phrases(rows, frozenset(weights)).groupBy("phrase").agg(F.coalesce(F.sum(F.expr("n * int(label = 0)")), F.lit(0)).alias("clean"), F.coalesce(F.sum(F.expr("n * int(label = 1)")), F.lit(0)).alias("toxic"))
         learnt = tuple(r["phrase"] for r in counted.where("clean >= 3 and toxic = 0").orderBy(F.desc("clean"), "phrase").limit(max_terms).collect())
     model = ToxicityModel(weights, tuple(dict.fromkeys([*exceptions, *learnt])))
     if not n1 or not n0:

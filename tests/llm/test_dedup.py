@@ -203,15 +203,12 @@ def test_hosts(spark):
     assert [r[0] for r in df.select(linededup.host_of(F.col("u"))).collect()] == ["a.example", None, None]
 
 
-def test_materialised_files_are_in_the_shared_folder(spark, tmp_path):
+def test_materialised_files_are_in_the_shared_folder(spark, tmp_path, monkeypatch):
     from quarry.llm import common
 
-    old = spark.conf.get("spark.checkpoint.dir", None)
-    spark.conf.set("spark.checkpoint.dir", f"file://{tmp_path}")
-    try:
-        df = common.materialise(spark.range(3).toDF("x"), f"t{uuid.uuid4().hex[:4]}")
-        assert df.count() == 3 and list(tmp_path.glob("quarry/*"))
-        common.discard(df)
-        assert not list(tmp_path.glob("quarry/*"))
-    finally:
-        spark.conf.set("spark.checkpoint.dir", old) if old else spark.conf.unset("spark.checkpoint.dir")
+    assert common.shared_dir(spark) == (spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints")
+    monkeypatch.setattr(common, "shared_dir", lambda _: f"file://{tmp_path}")
+    df = common.materialise(spark.range(3).toDF("x"), f"t{uuid.uuid4().hex[:4]}")
+    assert df.count() == 3 and list(tmp_path.glob("quarry/*"))
+    common.discard(df)
+    assert not list(tmp_path.glob("quarry/*"))
