@@ -32,7 +32,8 @@ def _failed(severity: str) -> Column:
 
 
 def submission_overview(t: Tables) -> DataFrame:
-    s, layout = t["submission"], t["layout_registry"].select("layout_id", "layout_version")
+    # one version for each layout: as an aggregate, so that the planner knows it
+    s, layout = t["submission"], t["layout_registry"].groupBy("layout_id").agg(F.max("layout_version").alias("layout_version"))
     parse = latest_per_key(t["parse_run"].select("submission_id", "parse_run_id", "status", "started_at", "ended_at"), ["submission_id"], ["started_at", "parse_run_id"])
     parse = parse.withColumnsRenamed({"status": "parse_status", "started_at": "parse_started_at", "ended_at": "parse_ended_at"})
     totals = t["parse_file_metrics"].groupBy("parse_run_id").agg(*(F.sum(c).alias(f"parse_{c}") for c in ("rows_read", "rows_written", "rows_rejected")))
