@@ -4,12 +4,13 @@ A text is its lower-cased words with single spaces between them and an end symbo
 decisions; a decision is made in the contexts of the 0 to `depth` bytes before it, of which each holds a
 Krichevsky-Trofimov estimate from its counts in all training texts. Context-tree weighting mixes the estimates of
 all depths: a context's weight is the share of its own block probability in its weighted probability, computed
-bottom-up from the counts in closed form. Only the commonest contexts of a depth are nodes of the tree; the others'
-counts stay in their parent, and go as one residual child into its weight.
+bottom-up from the counts in closed form. Every context that was counted is a node, so the tree grows with the input.
 
-Counting sends (context, byte) counts, summed in each task first; the tree the driver builds is bounded by `most` rows
-for each depth. The base score needs exact counts of all distinct tokens, which are unbounded: the
-`most_words` commonest are broadcast, and the other tokens of all documents are joined with their counts by shuffle.
+Counting sends (context, byte) counts, summed in each task first. The tree is split below contexts of `SPLIT` - 1 bytes:
+the driver holds the top, whose size the alphabet bounds, and executors the subtrees, a group of them at a time. They
+send the weights of their roots up, get what the top leaves for them, and score each distinct gram of the documents.
+The `most` commonest grams are broadcast with their scores; the others are joined with theirs by shuffle. So are
+the tokens of the base score, which needs exact counts of all, beyond the `most_words` commonest.
 
 Null text counts as empty, which is the end symbol and one token. Whole texts are scored. Repeated rows score alike.
 Tokens are compared by 64-bit hashes. Without training rows, counts are zero and the model is uniform.
@@ -23,7 +24,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm import common
@@ -31,6 +32,7 @@ from quarry.llm import common
 END = 0xFF  # never a byte of UTF-8: pads the first contexts and ends a text
 SPACE = 0x20
 END_TOKEN = 1  # stands for the hash of the end token
+SPLIT = 3  # context bytes of a subtree's root
 
 def _lgamma(x: np.ndarray) -> np.ndarray:
     """By recurrence up to 8, then Stirling's series."""
@@ -131,110 +133,177 @@ def node_key(context: np.ndarray, depth: int, node: np.ndarray) -> np.ndarray:
     return ((context & mask) << np.uint64(8)) | node.astype(np.uint64)
 
 
+def _nodes(codes: np.ndarray, counts: np.ndarray, d: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted keys of the decision nodes in contexts of d bytes, and their counts of zeros and ones."""
+    symbol, context = (codes & np.uint64(255)).astype(np.int64), codes >> np.uint64(8)
+    parts, a, b = [], [], []
+    for level in range(8):
+        key = node_key(context, d, (1 << level) | (symbol >> (8 - level)))
+        bit = (symbol >> (7 - level)) & 1
+        unique, inverse = np.unique(key, return_inverse=True)
+        parts.append(unique)
+        b.append(np.bincount(inverse, weights=counts * bit, minlength=len(unique)))
+        a.append(np.bincount(inverse, weights=counts * (1 - bit), minlength=len(unique)))
+    key = np.concatenate(parts)
+    order = np.argsort(key)
+    return key[order], np.concatenate(a)[order], np.concatenate(b)[order]
+
+
+def _parents(keys: np.ndarray, d: int) -> np.ndarray:
+    """Keys of the nodes in contexts a byte shorter than those of depth d."""
+    return node_key(keys >> np.uint64(8), d - 1, keys & np.uint64(255))
+
+
+@dataclass(frozen=True)
+class Part:
+    """Depths `first` to `first + len(keys) - 1` of the tree: node keys, counts, weights and shares of own estimates."""
+
+    first: int
+    keys: list[np.ndarray]
+    zeros: list[np.ndarray]
+    ones: list[np.ndarray]
+    weighted: list[np.ndarray]
+    share: list[np.ndarray]
+
+    def mixed(self, gathered: np.ndarray, left: np.ndarray) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+        """Top-down: probabilities of a one at each depth, and what the last depth has gathered and leaves.
+
+        `gathered` and `left` are what the path down to each node of the first depth has.
+        """
+        final, g, m = [], gathered, left
+        for d, keys in enumerate(self.keys):
+            if d:
+                at = np.searchsorted(self.keys[d - 1], _parents(keys, self.first + d))
+                g, m = g[at], m[at]
+            estimate = (self.ones[d] + 0.5) / (self.zeros[d] + self.ones[d] + 1.0)
+            final.append((g + m * estimate).astype(np.float32))
+            g, m = g + m * self.share[d] * estimate, m * (1 - self.share[d])
+        return final, g, m
+
+
+def part(codes: np.ndarray, counts: np.ndarray, first: int, last: int, below: np.ndarray | None = None) -> Part:
+    """Depths `first` to `last` of the tree from counts of grams with `last` context bytes, bottom-up.
+
+    `below` has the children's weights for each node of depth `last`, in the order of keys; None: the tree ends there.
+    """
+    n = last - first + 1
+    keys, zeros, ones, weighted, share = ([None] * n for _ in range(5))
+    for d in range(last, first - 1, -1):
+        codes, inverse = np.unique(codes & np.uint64((1 << (8 * (d + 1))) - 1), return_inverse=True)
+        counts = np.bincount(inverse, weights=counts, minlength=len(codes))
+        at = d - first
+        keys[at], zeros[at], ones[at] = _nodes(codes, counts, d)
+        own = _kt(zeros[at], ones[at])
+        if d < last:
+            place = np.searchsorted(keys[at], _parents(keys[at + 1], d + 1))
+            below = np.bincount(place, weights=weighted[at + 1], minlength=len(own))
+        if below is None:
+            weighted[at], share[at] = own, np.ones(len(own))
+        else:
+            weighted[at] = np.logaddexp(own, below) - np.log(2)
+            share[at] = np.exp(np.log(0.5) + own - weighted[at])
+    return Part(first, keys, zeros, ones, weighted, share)
+
+
 def build(levels: list[tuple[np.ndarray, np.ndarray]], known: int) -> TreeModel:
-    """The tree from (codes, counts) of each depth 0..D: codes are d context bytes and the byte itself."""
+    """The whole tree from (codes, counts) of each depth 0..D: codes are d context bytes and the byte itself."""
     depth = len(levels) - 1
-    keys, zeros, ones = [], [], []
-    for d, (codes, counts) in enumerate(levels):
-        symbol, context = (codes & np.uint64(255)).astype(np.int64), codes >> np.uint64(8)
-        parts, a, b = [], [], []
-        for level in range(8):
-            key = node_key(context, d, (1 << level) | (symbol >> (8 - level)))
-            bit = (symbol >> (7 - level)) & 1
-            unique, inverse = np.unique(key, return_inverse=True)
-            parts.append(unique)
-            b.append(np.bincount(inverse, weights=counts * bit, minlength=len(unique)))
-            a.append(np.bincount(inverse, weights=counts * (1 - bit), minlength=len(unique)))
-        key = np.concatenate(parts)
-        order = np.argsort(key)
-        keys.append(key[order])
-        zeros.append(np.concatenate(a)[order])
-        ones.append(np.concatenate(b)[order])
-    # bottom-up: weighted log probability of each node, and the share that its own estimate has in it
-    weighted, share = [None] * (depth + 1), [None] * (depth + 1)
-    for d in range(depth, -1, -1):
-        own = _kt(zeros[d], ones[d])
-        if d == depth or not len(keys[d + 1]):
-            weighted[d], share[d] = own, np.ones(len(own))
-            continue
-        node, context = keys[d + 1] & np.uint64(255), keys[d + 1] >> np.uint64(8)
-        parent = node_key(context, d, node)
-        at = np.minimum(np.searchsorted(keys[d], parent), max(0, len(keys[d]) - 1))
-        hit = keys[d][at] == parent if len(keys[d]) else np.zeros(len(parent), bool)
-        below, kept0, kept1 = (np.bincount(at[hit], weights=w[hit], minlength=len(own)) for w in (weighted[d + 1], zeros[d + 1], ones[d + 1]))
-        has = np.bincount(at[hit], minlength=len(own)) > 0
-        rest = below + _kt(np.maximum(zeros[d] - kept0, 0), np.maximum(ones[d] - kept1, 0))
-        both = np.logaddexp(own, rest) - np.log(2)
-        weighted[d] = np.where(has, both, own)
-        share[d] = np.where(has, np.exp(np.log(0.5) + own - both), 1.0)
-    # top-down: what the path down to a node has gathered, and what is left for it
-    final, gathered, left = [], None, None
-    for d in range(depth + 1):
-        estimate = (ones[d] + 0.5) / (zeros[d] + ones[d] + 1.0)
-        if d == 0:
-            g, m = np.zeros(len(estimate)), np.ones(len(estimate))
-        else:
-            parent = node_key(keys[d] >> np.uint64(8), d - 1, keys[d] & np.uint64(255))
-            at = np.minimum(np.searchsorted(keys[d - 1], parent), max(0, len(keys[d - 1]) - 1))
-            g, m = gathered[at], left[at]
-        final.append((g + m * estimate).astype(np.float32))
-        gathered, left = g + m * share[d] * estimate, m * (1 - share[d])
-    model = TreeModel(depth, tuple(keys), tuple(final), np.zeros(0, np.uint64), np.zeros(0))
     codes, counts = levels[depth]
+    whole = part(codes, counts, 0, depth)
+    final, _, _ = whole.mixed(np.zeros(len(whole.keys[0])), np.ones(len(whole.keys[0])))
+    model = TreeModel(depth, tuple(whole.keys), tuple(final), np.zeros(0, np.uint64), np.zeros(0))
     top = np.sort(codes[np.argsort(-counts, kind="stable")[:known]])
     return TreeModel(depth, model.keys, model.ones, top, model.log10_of(top))
 
 
-def _sum_codes(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _sum_codes(codes: np.ndarray, *weights: np.ndarray) -> tuple[np.ndarray, ...]:
     at, unique = pd.factorize(codes)
-    return unique, np.bincount(at, minlength=len(unique))
+    return unique, *(np.bincount(at, weights=w, minlength=len(unique)).astype(np.int64) for w in weights)
 
 
 def count(texts: DataFrame, depth: int) -> DataFrame:
-    """(kind, code, n) over the column `text`: kind 0 for grams of depth + 1 bytes, 1 for tokens."""
+    """(kind, code, n, m) over the columns `text`, `learn` and `ask`: kind 0 for grams of depth + 1 bytes, 1 for tokens.
+
+    n counts rows to learn from (learn = 1), m rows to score (ask = 1); tokens are counted in the former only.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, bounds = common.utf8(batch.column(0))
+            learn, ask = (batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in (1, 2))
             grams, tokens = [], []
             for a, b in common.chunks(bounds):
-                part, edge = data[bounds[a] : bounds[b]], bounds[a : b + 1] - bounds[a]
-                grams.append(_sum_codes(gram_codes(*normal_bytes(part, edge), depth)))
-                value = common.words(part, edge)[0]
-                tokens.append(_sum_codes(np.where(value <= END_TOKEN, value + np.uint64(2), value)))
-            tokens.append((np.array([END_TOKEN], np.uint64), np.array([batch.num_rows])))
+                piece, edge = data[bounds[a] : bounds[b]], bounds[a : b + 1] - bounds[a]
+                normal, at = normal_bytes(piece, edge)
+                of = np.repeat(np.arange(a, b), np.diff(at))
+                grams.append(_sum_codes(gram_codes(normal, at, depth), learn[of], ask[of]))
+                value, doc, _, _ = common.words(piece, edge)
+                value = value[learn[doc + a] > 0]
+                tokens.append(_sum_codes(np.where(value <= END_TOKEN, value + np.uint64(2), value), np.ones(len(value)), np.zeros(len(value))))
+            if learn.any():
+                tokens.append((np.array([END_TOKEN], np.uint64), np.array([learn.sum()]), np.array([0])))
             for kind, found in enumerate((grams, tokens)):
-                codes, n = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-                at, unique = pd.factorize(codes)
-                n = np.bincount(at, weights=n, minlength=len(unique)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(unique), kind, np.int32)), pa.array(unique.view(np.int64)), pa.array(n)], names=["kind", "code", "n"])
+                if found:
+                    codes, n, m = _sum_codes(*(np.concatenate(x) for x in zip(*found, strict=True)))
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(codes), kind, np.int32)), pa.array(codes.view(np.int64)), pa.array(n), pa.array(m)], names=["kind", "code", "n", "m"])
 
-    return texts.select("text").mapInArrow(run, "kind int, code long, n long").groupBy("kind", "code").agg(F.sum("n").alias("n"))
+    counted = texts.select("text", "learn", "ask").mapInArrow(run, "kind int, code long, n long, m long")
+    return counted.groupBy("kind", "code").agg(F.sum("n").alias("n"), F.sum("m").alias("m"))
 
 
-def _collect(df: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+def _collect(df: DataFrame, value: str = "n") -> tuple[np.ndarray, np.ndarray]:
     got = df.toPandas()
-    return got["code"].to_numpy(dtype=np.int64).view(np.uint64), got["n"].to_numpy(dtype=np.float64)
+    return got["code"].to_numpy(dtype=np.int64).view(np.uint64), got[value].to_numpy(dtype=np.float64)
+
 
+def _arrays(group: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return group["code"].to_numpy(dtype=np.int64).view(np.uint64), group["n"].to_numpy(dtype=np.float64), group["m"].to_numpy() > 0
 
-def _levels(grams: DataFrame, depth: int, most: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Counts of grams in the commonest contexts of each depth, as many whole contexts as have `most` grams at most.
 
-    Each depth is summed from the one below it, so the work falls off with the depth.
+def gram_scores(grams: DataFrame, depth: int, group: int = 100_000) -> DataFrame:
+    """(code, m, log10) for the grams (code, n, m) with m > 0: all contexts that were counted take part.
+
+    Subtrees go together in groups of about `group` grams.
     """
-    out, level = [], grams.select("code", "n")
-    for d in range(depth, -1, -1):
-        if d < depth:
-            shorter = level.groupBy(F.col("code").bitwiseAND(F.lit((1 << (8 * (d + 1))) - 1)).alias("code")).agg(F.sum("n").alias("n"))
-            shorter = common.materialise(shorter, "lm-level")
-            if d < depth - 1:
-                common.discard(level)
-            level = shorter
-        context = F.shiftright("code", 8)
-        contexts = level.groupBy(context.alias("context")).agg(F.sum("n").alias("total"), F.count("*").alias("k"))
-        chosen = common.commonest(contexts, most, "total", F.col("k")).select("context")  # `most` rows at most
-        out.append(_collect(level.join(F.broadcast(chosen), context == F.col("context"), "left_semi")))
-    return out[::-1]
+    spark = grams.sparkSession
+    split = min(SPLIT, depth)
+    suffix = F.shiftrightunsigned("code", 8).bitwiseAND(F.lit((1 << (8 * split)) - 1))
+    groups = max(1, -(-grams.count() // group))
+    dealt = grams.select("code", "n", "m", F.pmod(F.xxhash64(suffix), F.lit(groups)).alias("part"))
+
+    def lift(found: pd.DataFrame) -> pd.DataFrame:
+        codes, n, _ = _arrays(found)
+        sub = part(codes, n, split, depth)
+        keys, inverse = np.unique(_parents(sub.keys[0], split), return_inverse=True)
+        return pd.DataFrame({"code": keys.view(np.int64), "w": np.bincount(inverse, weights=sub.weighted[0], minlength=len(keys))})
+
+    top_keys, final, gathered, left = [], [], None, None
+    if split:
+        roots = dealt.where("n > 0").groupBy("part").applyInPandas(lift, "code long, w double").groupBy("code").agg(F.sum("w").alias("w"))
+        keys, below = _collect(roots, "w")
+        short = grams.where("n > 0").groupBy(F.col("code").bitwiseAND(F.lit((1 << (8 * split)) - 1)).alias("code")).agg(F.sum("n").alias("n"))
+        codes, n = _collect(short)
+        top = part(codes, n, 0, split - 1, below[np.argsort(keys)])
+        final, gathered, left = top.mixed(np.zeros(len(top.keys[0])), np.ones(len(top.keys[0])))
+        top_keys = top.keys
+    above = spark.sparkContext.broadcast((top_keys, final, gathered, left))
+
+    def give(found: pd.DataFrame) -> pd.DataFrame:
+        top_keys, final, gathered, left = above.value
+        codes, n, asked = _arrays(found)
+        sub = part(codes[n > 0], n[n > 0], split, depth)
+        if split:
+            at = np.searchsorted(top_keys[-1], _parents(sub.keys[0], split))
+            below, _, _ = sub.mixed(gathered[at], left[at])
+        else:
+            below, _, _ = sub.mixed(np.zeros(len(sub.keys[0])), np.ones(len(sub.keys[0])))
+        model = TreeModel(depth, (*top_keys, *sub.keys), (*final, *below), np.zeros(0, np.uint64), np.zeros(0))
+        order = np.argsort(codes[asked])
+        wanted = codes[asked][order]
+        return pd.DataFrame({"code": wanted.view(np.int64), "m": found["m"].to_numpy()[asked][order], "log10": model.log10_of(wanted)})
+
+    scored = dealt.groupBy("part").applyInPandas(give, "code long, m long, log10 double")
+    return common.materialise(scored, "lm-grams")
 
 
 @dataclass(frozen=True)
@@ -243,23 +312,26 @@ class WordCounts:
     counts: np.ndarray
 
 
-def score(docs: DataFrame, training: DataFrame, key: str = "doc_id", text: str = "text", depth: int = 6, most: int = 300_000, most_words: int = 300_000) -> DataFrame:
+def score(docs: DataFrame, training: DataFrame | Column, key: str = "doc_id", text: str = "text", depth: int = 6, most: int = 300_000, most_words: int = 300_000) -> DataFrame:
     """(key, n_tokens, n_known, train_tokens, base_score, score) for each row of `docs`.
 
-    `most` bounds the rows of the tree for each depth, `most_words` the tokens that are broadcast; neither drops a
-    row or a token from the result.
+    `training` has the texts to learn from, or is a condition on `docs`. `most` bounds the grams that are broadcast
+    with their scores, `most_words` the tokens; the others are joined by shuffle, so neither bounds what is counted.
     """
     spark = docs.sparkSession
     common.bound_batches(spark)
-    counted = common.materialise(count(training.select(F.col(text).alias("text")), depth), "lm-counts")
-    grams = counted.where("kind = 0")
-    levels = _levels(grams, depth, most)
-    for d in range(1, depth + 1):  # a context needs its parent in the tree
-        codes, n = levels[d]
-        ok = np.isin((codes >> np.uint64(8)) & np.uint64((1 << (8 * (d - 1))) - 1), levels[d - 1][0] >> np.uint64(8))
-        levels[d] = (codes[ok], n[ok])
-    tree = spark.sparkContext.broadcast(build(levels, most))
-    words = counted.where("kind = 1").select("code", "n")
+    if isinstance(training, DataFrame):
+        texts = training.select(F.col(text).alias("text"), F.lit(1).alias("learn"), F.lit(0).alias("ask")).unionByName(docs.select(F.col(text).alias("text"), F.lit(0).alias("learn"), F.lit(1).alias("ask")))
+    else:
+        texts = docs.select(F.col(text).alias("text"), F.coalesce(training, F.lit(False)).cast("int").alias("learn"), F.lit(1).alias("ask"))
+    counted = common.materialise(count(texts, depth), "lm-counts")
+    words = common.materialise(counted.where("kind = 1").select("code", "n"), "lm-words")
+    scores = gram_scores(counted.where("kind = 0").select("code", "n", "m"), depth)
+    common.discard(counted)
+    grams_whole = scores.count() <= most
+    codes, log10 = _collect(common.commonest(scores, most, "m"), "log10")
+    order = np.argsort(codes)
+    common_grams = spark.sparkContext.broadcast((codes[order], log10[order]))
     size = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     total, distinct = int(size["n"]), int(size["v"])
     codes, n = _collect(common.commonest(words, most_words))
@@ -269,18 +341,25 @@ def score(docs: DataFrame, training: DataFrame, key: str = "doc_id", text: str =
     whole = distinct <= most_words
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, table = tree.value, common_words.value
+        (grams, scored_grams), table = common_grams.value, common_words.value
         for batch in batches:
             data, bounds = common.utf8(batch.column(1))
             rows = batch.num_rows
             n_tokens, n_known = np.zeros(rows, np.int64), np.zeros(rows, np.int64)
             base, log10 = np.zeros(rows), np.zeros(rows)
-            rare_doc, rare_code, rare_n = [], [], []
+            rare_doc, rare_code, rare_gram_doc, rare_gram = [], [], [], []
             for a, b in common.chunks(bounds):
                 part, edge = data[bounds[a] : bounds[b]], bounds[a : b + 1] - bounds[a]
                 normal, at = normal_bytes(part, edge)
-                which, unique = pd.factorize(gram_codes(normal, at, model.depth))
-                log10[a:b] = np.add.reduceat(model.log10_of(unique)[which], at[:-1])
+                which, unique = pd.factorize(gram_codes(normal, at, depth))
+                place = np.minimum(np.searchsorted(grams, unique), max(0, len(grams) - 1))
+                hit = grams[place] == unique if len(grams) else np.zeros(len(unique), bool)
+                value = np.zeros(len(unique))
+                value[hit] = scored_grams[place[hit]]
+                log10[a:b] = np.add.reduceat(value[which], at[:-1])
+                far = np.flatnonzero(~hit[which])
+                rare_gram_doc.append(np.searchsorted(at, far, side="right") - 1 + a)
+                rare_gram.append(unique[which[far]])
                 value, doc, _, _ = common.words(part, edge)
                 value = np.concatenate([np.where(value <= END_TOKEN, value + np.uint64(2), value), np.full(b - a, END_TOKEN, np.uint64)])
                 doc = np.concatenate([doc, np.arange(b - a)])
@@ -301,31 +380,38 @@ def score(docs: DataFrame, training: DataFrame, key: str = "doc_id", text: str =
                 rest = ~hit_or_new
                 rare_doc.append(doc[rest] + a)
                 rare_code.append(value[rest])
-            rare_doc = np.concatenate(rare_doc) if rare_doc else np.zeros(0, np.int64)
-            rare_code = np.concatenate(rare_code) if rare_code else np.zeros(0, np.uint64)
-            order = np.argsort(rare_doc, kind="stable")
-            ends = np.concatenate([[0], np.cumsum(np.bincount(rare_doc, minlength=rows))]).astype(np.int32)
-            rare = pa.ListArray.from_arrays(pa.array(ends), pa.array(rare_code[order].view(np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n_tokens), pa.array(n_known), pa.array(base), pa.array(log10), rare], names=names)
-
-    names = ["id", "n_tokens", "n_known", "base", "score", "rare"]
+            rare, rare_grams = listed(rare_doc, rare_code, rows), listed(rare_gram_doc, rare_gram, rows)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n_tokens), pa.array(n_known), pa.array(base), pa.array(log10), rare, rare_grams], names=names)
+
+    def listed(of: list[np.ndarray], codes: list[np.ndarray], rows: int) -> pa.Array:
+        of = np.concatenate(of) if of else np.zeros(0, np.int64)
+        codes = np.concatenate(codes) if codes else np.zeros(0, np.uint64)
+        order = np.argsort(of, kind="stable")
+        ends = np.concatenate([[0], np.cumsum(np.bincount(of, minlength=rows))]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(codes[order].view(np.int64)))
+
+    names = ["id", "n_tokens", "n_known", "base", "score", "rare", "grams"]
     kind = docs.select(F.col(key).alias("id")).dtypes[0][1]
     given = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
-    scored = given.mapInArrow(run, f"id {kind}, n_tokens long, n_known long, base double, score double, rare array<bigint>")
+    scored = given.mapInArrow(run, f"id {kind}, n_tokens long, n_known long, base double, score double, rare array<bigint>, grams array<bigint>")
     result = [F.col("id").alias(key), "n_tokens", (F.col("n_known") + F.coalesce("more", F.lit(0))).alias("n_known"), F.lit(total).cast("long").alias("train_tokens")]
+    if not (whole and grams_whole):
+        scored = common.materialise(scored.withColumn("row", F.monotonically_increasing_id()), "lm-scores")
     if whole:
         out = scored.withColumn("more", F.lit(0).cast("long")).withColumn("extra", F.lit(0.0))
     else:
-        scored = common.materialise(scored.withColumn("row", F.monotonically_increasing_id()), "lm-scores")
         tail = scored.select("row", F.explode("rare").alias("code")).groupBy("row", "code").agg(F.count("*").alias("k"))
         found = tail.join(words, "code", "left").withColumn("n", F.coalesce("n", F.lit(0)))
         sums = found.groupBy("row").agg(F.sum(F.col("k") * (F.log10(F.col("n") + 1) - F.lit(floor))).alias("extra"), F.sum(F.when(F.col("n") > 0, F.col("k")).otherwise(0)).alias("more"))
         out = scored.join(sums, "row", "left")
+    if not grams_whole:  # each gram of the documents has a score
+        tail = scored.select("row", F.explode("grams").alias("code")).join(scores.select("code", "log10"), "code")
+        out = out.join(tail.groupBy("row").agg(F.sum("log10").alias("rest")), "row", "left").withColumn("score", F.col("score") + F.coalesce("rest", F.lit(0.0)))
     return out.select(*result, (F.col("base") + F.coalesce("extra", F.lit(0.0))).alias("base_score"), "score")
 
 
 def op8_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
-    out = score(docs, docs.where(common.remainder(F.col("doc_id"), 7) != 2))
+    out = score(docs, common.remainder(F.col("doc_id"), 7) != 2)
     held = (common.remainder(F.col("doc_id"), 7) == 2).alias("held_out")
     return out.select("doc_id", held, "n_tokens", "n_known", "train_tokens", "base_score", "score")

@@ -219,6 +219,27 @@ def test_language_model_of_nothing(spark, docs, odd):
     assert langmodel.score(docs([]).limit(0), odd, depth=2).count() == 0
 
 
+@pytest.mark.parametrize("most", [300_000, 40, 0])
+@pytest.mark.parametrize("flag", [False, True])
+def test_every_counted_context_takes_part(spark, docs, prose, monkeypatch, most, flag):
+    """Scores equal those of the whole tree, built at once, whatever is broadcast and however subtrees are grouped."""
+    texts = [prose(25) for _ in range(12)] + ["only here: qxz", None, "\u4e2d\u6587 caf\u00e9"]
+    df, depth = docs(texts), 5
+    data, bounds = common.utf8(pa.array([t for i, t in enumerate(texts) if i % 3]))
+    codes = langmodel.gram_codes(*langmodel.normal_bytes(data, bounds), depth)
+    levels = [tuple(np.unique(codes & np.uint64((1 << (8 * (d + 1))) - 1), return_counts=True)) for d in range(depth + 1)]
+    model = langmodel.build([(u, n.astype(float)) for u, n in levels], 0)
+    spread = langmodel.gram_scores
+    monkeypatch.setattr(langmodel, "gram_scores", lambda grams, depth: spread(grams, depth, 100))
+    taught = F.col("doc_id") % 3 != 0
+    got = langmodel.score(df, taught if flag else df.where(taught), depth=depth, most=most).orderBy("doc_id").collect()
+    assert len(got) == len(texts)
+    for r, t in zip(got, texts, strict=True):
+        data, bounds = common.utf8(pa.array([t], pa.string()))
+        want = model.log10_of(langmodel.gram_codes(*langmodel.normal_bytes(data, bounds), depth)).sum()
+        assert r["score"] == pytest.approx(want, rel=1e-4)
+
+
 def test_model_prefers_what_it_was_taught(spark, docs, prose):
     df = docs([prose(80) for _ in range(40)])
     out = langmodel.score(df.unionByName(docs(["qxz jjk vvw " * 20])), df, depth=4).toPandas()
