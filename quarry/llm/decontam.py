@@ -1,13 +1,13 @@
-"""Benchmark decontamination by spaced-seed hashing.
+"""Benchmark decontamination by seeds that no accepted overlap can avoid.
 
-Words of items and documents are hashed. Each fixed mask selects some positions of a window and ignores others, so
-that a window still meets its counterpart if words at ignored positions were substituted. Seed hashes of items and
-of documents are joined; each hit gives a diagonal (document position less item position). On a diagonal the words
-are compared one by one, and the item counts as contained if `length` words in a row (or the whole item, if
-shorter) agree to `share` at least somewhere. Only DataFrame functions are used.
+An item counts as contained if `length` words in a row (or the whole item, if shorter) agree with a stretch of the
+document to `share` at least. Of n such words k = n - ceil(share * n) may differ, and they part the n words into k + 1
+runs, of which one has floor(n / (k + 1)) words or more: that is the width of the item's seeds, and as a differing
+word spoils at most `width` of the n - width + 1 seeds, the others must all be met. Seed hashes of items and of
+documents are joined; each hit gives a diagonal (document position less item position), and diagonals with enough
+hits are compared word by word. So nothing that is accepted is missed. Only DataFrame functions are used.
 
-Words are runs of letters and digits in lower case. Null and empty texts have no words and never match; items with
-fewer words than a mask spans have no seed and never match. Repeated documents and items are reported each under
+Words are runs of letters and digits in lower case. Null and empty texts have no words and never match. Repeated documents and items are reported each under
 its own id; rows with equal ids count as one. Among several diagonals the one with the most agreeing words is
 reported, then the smallest. Words are compared by 64-bit hashes. Whole texts are searched.
 
@@ -23,35 +23,28 @@ from pyspark.sql import functions as F
 
 from quarry.llm import common
 
-#: 1: the word counts, 0: it is ignored.
-MASKS = ("1110100111", "1101110011")
-SPAN = max(map(len, MASKS))
-
-
 def word_hashes(text: Column) -> Column:
     words = F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+")
     return F.transform(F.filter(words, lambda w: w != ""), lambda w: F.xxhash64(w))
 
 
-def _windows(words: Column) -> Column:
-    """For all windows of a word array, the position (from 0) and an array with a hash for each mask."""
-    last = F.size(words) - SPAN
+def _windows(words: Column, widths: list[int]) -> Column:
+    """For each width, the position (from 0) and hash of all runs of so many words."""
 
-    def hashed(i: Column) -> Column:
-        each = [F.xxhash64(*[F.get(words, i + k) for k, c in enumerate(mask) if c == "1"], F.lit(n)) for n, mask in enumerate(MASKS)]
-        return F.struct(i.alias("pos"), F.array(*each).alias("seeds"))
+    def of(width: int) -> Column:
+        hashed = lambda i: F.struct(i.alias("pos"), F.lit(width).alias("width"), F.xxhash64(*[F.get(words, i + k) for k in range(width)], F.lit(width)).alias("seed"))
+        return F.when(F.size(words) >= width, F.transform(F.sequence(F.lit(0), F.size(words) - width), hashed)).otherwise(F.array().cast("array<struct<pos: int, width: int, seed: bigint>>"))
 
-    return F.when(last >= 0, F.transform(F.sequence(F.lit(0), last), hashed))
+    return of(widths[0]) if len(widths) == 1 else F.concat(*map(of, widths))
 
 
-def seeds(df: DataFrame, key: str, words: str) -> DataFrame:
-    """(key, pos, seed) for all masks; the masks' hashes differ, so one join serves all.
+def seeds(df: DataFrame, key: str, words: str, widths: list[int], *others: str) -> DataFrame:
+    """(key, others, pos, width, seed) for all widths; the widths' hashes differ, so one join serves all.
 
-    The outer generators keep the optimizer from adding a filter on the array's size below them, which would compute
+    The outer generator keeps the optimizer from adding a filter on the array's size below it, which would compute
     the words anew inside the windows' lambda.
     """
-    placed = df.select(key, F.inline_outer(_windows(F.col(words)))).where(F.col("pos").isNotNull())
-    return placed.select(key, "pos", F.explode("seeds").alias("seed"))
+    return df.select(key, *others, F.inline_outer(_windows(F.col(words), widths))).where(F.col("pos").isNotNull())
 
 
 def find(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text",
@@ -61,12 +54,21 @@ def find(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "te
     `matched` of `compared` words agree in the best stretch, which starts at `doc_pos` and `item_pos` (from 0).
     """
     items = items.where(F.col(item_key).isNotNull() & F.col(item_text).isNotNull()).groupBy(F.col(item_key).alias("item_id")).agg(F.min(item_text).alias("t"))
-    items = common.materialise(items.select("item_id", word_hashes(F.col("t")).alias("item_words")), "items")
-    wanted = common.materialise(seeds(items, "item_id", "item_words").select("item_id", F.col("pos").alias("item_pos"), "seed"), "item-seeds")
+    items = common.materialise(items.select("item_id", word_hashes(F.col("t")).alias("item_words")).where(F.size("item_words") > 0), "items")
+    compared = F.least(F.lit(length), F.size("item_words"))
+    differ = compared - F.ceil(F.lit(share) * compared).cast("int")
+    own = F.greatest(F.lit(1), F.floor(compared / (differ + 1)).cast("int"))
+    need = F.greatest(F.lit(1), compared - F.col("own") + 1 - differ * F.col("own"))
+    sized = items.withColumn("own", own).withColumn("need", need)
+    widths = sorted(r["own"] for r in sized.select("own").distinct().collect()) or [1]
+    wanted = seeds(sized, "item_id", "item_words", widths, "own", "need").where("width = own")
+    wanted = common.materialise(wanted.select("item_id", F.col("pos").alias("item_pos"), "need", "seed"), "item-seeds")
     few = wanted.count() <= broadcast_seeds
     given = docs.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(F.col(key).alias("doc_id"), F.col(text).alias("t"))
     split = given.select("doc_id", word_hashes(F.col("t")).alias("words"))
-    hits = seeds(split, "doc_id", "words").join(F.broadcast(wanted) if few else wanted, "seed").select("doc_id", "item_id", (F.col("pos") - F.col("item_pos")).alias("diagonal")).distinct()
+    hits = seeds(split, "doc_id", "words", widths).join(F.broadcast(wanted) if few else wanted, "seed")
+    hits = hits.groupBy("doc_id", "item_id", (F.col("pos") - F.col("item_pos")).alias("diagonal")).agg(F.count("*").alias("n"), F.first("need").alias("need"))
+    hits = hits.where("n >= need").select("doc_id", "item_id", "diagonal")
     hits = common.materialise(hits, "seed-hits")
     by_doc = hits.groupBy("doc_id").agg(F.count("*").alias("n")).select("doc_id")
     small = hits.count() <= broadcast_hits

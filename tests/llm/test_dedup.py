@@ -1,3 +1,4 @@
+import math
 import random
 import re
 import uuid
@@ -163,6 +164,27 @@ def test_decontamination(spark, docs, prose):
     assert decontam.find(docs(texts).limit(0), items).count() == 0 and decontam.find(docs(texts), items.limit(0)).count() == 0
 
 
+def test_decontamination_misses_no_edited_item(spark, docs, prose):
+    """Items of 1 to 30 words, with as many words replaced at random as is accepted, and with one more."""
+    rng, texts, items = random.Random(3), [], []
+    for n in [*range(1, 31), 10, 12, 15, 17, 20, 20, 20]:
+        item = [f"w{len(items)}x{i}" for i in range(n)]
+        m = min(n, 20)
+        for differ in (m - math.ceil(0.75 * m), m - math.ceil(0.75 * m) + 1):
+            for _ in range(4):
+                edited, first = list(item), rng.randrange(n - m + 1)
+                for i in rng.sample(range(first, first + m), differ):
+                    edited[i] = "zzz"
+                texts.append(f"{prose(7)} {' '.join(edited[first : first + m])} {prose(9)}")
+        items.append(" ".join(item))
+    table = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    want = {(d, i) for d, t in enumerate(texts) for i, item in enumerate(items) if d // 8 == i and brute_contained(t, item)}
+    assert len(want) >= 4 * len(items)
+    for few in (500_000, 0):
+        found = decontam.find(docs(texts), table, broadcast_seeds=few, broadcast_hits=few)
+        assert {(r["doc_id"], r["item_id"]) for r in found.collect()} == want
+
+
 def test_decontamination_of_real_tables(spark):
     found = {r["doc_id"] for r in decontam.op4_decontamination(spark, SF).select("doc_id").collect()}
     d, b = (spark.read.parquet(f"{SF}/{t}.parquet").toPandas() for t in ("documents", "benchmark"))
