@@ -2,9 +2,10 @@
 
 Seeds are spans of four base kinds, found by pattern and checked (address parts, digit counts, Luhn). The word before a
 seed is a lexical pattern of its kind. Patterns and instances (the seeds' texts and those of other tokens that look like
-identifiers) are a graph: Spark scores patterns by the share of trusted instances among their distinct ones, and
-instances by the patterns they follow, in turns. Identifiers behind a trusted pattern become spans of the kind that
-the pattern's seeds have. Only DataFrame functions are used.
+identifiers) are a graph: Spark scores patterns by the mean trust in their distinct instances, and instances by the
+patterns they follow, in turns. Trusted instances count for further patterns in the next turn, seeds or not, and carry
+their kind on. Identifiers behind a trusted pattern become spans of the kind that most of its trusted instances
+have. Only DataFrame functions are used.
 
 Null text counts as empty and has no span. Whole texts are searched. Positions are code points, the end exclusive.
 Matches of a kind are leftmost and don't overlap; those that fail their check are dropped without another try.
@@ -29,8 +30,8 @@ EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Z
 IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?:[\x20-]?[0-9]){12,}+"  # shorter ones fail the check of digits in any case
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-#: Tokens that may be identifiers: four characters or more and a digit; three digits are asked for later.
-TOKEN = r"(?<![^\x20\x09-\x0D\"'(=:\[<])(?=[A-Za-z_@./+-]*+[0-9])[A-Za-z0-9][A-Za-z0-9_@./+-]{3,}(?<=[A-Za-z0-9])(?![A-Za-z0-9_@/+-])"
+#: Tokens that may be identifiers: four characters or more and a digit or @; without @, three digits are asked for later.
+TOKEN = r"(?<![^\x20\x09-\x0D\"'(=:\[<])(?=[A-Za-z_./+-]*+[0-9@])[A-Za-z0-9][A-Za-z0-9_@./+-]{3,}(?<=[A-Za-z0-9])(?![A-Za-z0-9_@/+-])"
 
 SPAN = "struct<s: int, e: int, m: string, left: string>"
 
@@ -90,7 +91,7 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, row, email, ip, card, phone, tokens): the base spans of each row, and other tokens like identifiers."""
     given = docs.select(F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("t"))
     found = given.select("id", F.xxhash64("t").alias("row"), "t", *(c.alias(k) for k, c in base_spans(F.col("t")).items()))
-    tokens = F.when(F.col("t").rlike("[0-9]"), F.filter(matches(F.col("t"), TOKEN), lambda x: F.char_length(_digits(x["m"])) >= 3))
+    tokens = F.when(F.col("t").rlike("[0-9@]"), F.filter(matches(F.col("t"), TOKEN), lambda x: x["m"].contains("@") | (F.char_length(_digits(x["m"])) >= 3)))
     every = F.concat(*KINDS)
     clear = lambda x: ~F.exists("base", lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"]))
     found = found.select("id", "row", *KINDS, every.alias("base"), F.coalesce(tokens, F.array().cast(f"array<{SPAN}>")).alias("all_tokens"))
@@ -101,26 +102,31 @@ def bootstrap(scanned: DataFrame, rounds: int = 3, support: int = 3, trust: floa
     """(pattern, kind, score) of the trusted patterns.
 
     A pattern's score is the mean trust in its distinct instances, an instance's the chance that one of its patterns
-    is right; seeds are trusted fully. A very common word before identifiers is one row a value: values and
-    patterns are summed before they are shuffled, and no pattern's instances are ever gathered.
+    is right; seeds are trusted fully. A pattern takes part from the round on in which `support` distinct instances
+    are trusted to `trust` at least. A very common word before identifiers is one row a value: values and patterns
+    are summed before they are shuffled, and no pattern's instances are ever gathered.
     """
     seeds = reduce(DataFrame.unionByName, (
         scanned.select(F.lit(n).alias("kind"), F.explode(k).alias("x")).select("kind", _pattern(F.col("x.left")).alias("pattern"), F.col("x.m").alias("value")) for n, k in enumerate(KINDS)
     ))
     others = scanned.select(F.explode_outer("tokens").alias("x")).where(F.col("x").isNotNull()).select(F.lit(None).cast("int").alias("kind"), _pattern(F.col("x.left")).alias("pattern"), F.col("x.m").alias("value"))
     edges = seeds.unionByName(others).where(F.col("pattern").isNotNull()).groupBy("pattern", "value").agg(F.min("kind").alias("kind"))
-    known = edges.groupBy("pattern").agg(F.count("kind").alias("trusted")).where(F.col("trusted") >= support).select("pattern")
+    known = edges.groupBy("pattern").agg(F.count("*").alias("m")).where(F.col("m") >= support).select("pattern")
     edges = common.materialise(edges.join(known, "pattern"), "pii-edges")  # other patterns can never be trusted
-    instances = edges.select("value", F.when(F.col("kind").isNotNull(), 1.0).otherwise(0.0).alias("trust")).groupBy("value").agg(F.max("trust").alias("trust"))
+    seed, own = F.max(F.col("kind").isNotNull()).alias("seed"), F.min("kind").alias("own")
+    instances = edges.groupBy("value").agg(seed, own).select("value", F.col("seed").cast("double").alias("trust"), F.col("own").alias("k"))
     patterns = None
     for _ in range(rounds):
-        patterns = common.materialise(edges.join(instances, "value").groupBy("pattern").agg(F.avg("trust").alias("score")), "pii-patterns")
-        doubt = F.log1p(-F.least(F.col("score"), F.lit(0.999)))
-        instances = edges.join(patterns, "pattern").groupBy("value").agg(F.max(F.col("kind").isNotNull()).alias("seed"), (F.lit(1.0) - F.exp(F.sum(doubt))).alias("p"))
-        instances = instances.select("value", F.when(F.col("seed"), 1.0).otherwise(F.col("p")).alias("trust"))
-    votes = edges.where(F.col("kind").isNotNull()).groupBy("pattern", "kind").agg(F.count("*").alias("n"))
-    kinds = votes.groupBy("pattern").agg((-F.max(F.struct("n", (-F.col("kind")).alias("k")))["k"]).alias("kind"))
-    return common.materialise(patterns.where(F.col("score") >= trust).join(kinds, "pattern"), "pii-trusted")
+        sure = F.count(F.when(F.col("trust") >= trust, F.col("k"))).alias("sure")
+        votes = edges.select("pattern", "value").join(instances, "value").groupBy("pattern", "k").agg(F.sum("trust").alias("t"), F.count("*").alias("n"), sure)
+        best = F.max(F.when(F.col("sure") > 0, F.struct("sure", (-F.col("k")).alias("k"))))
+        patterns = votes.groupBy("pattern").agg((F.sum("t") / F.sum("n")).alias("score"), F.sum("sure").alias("trusted"), (-best["k"]).alias("k"))
+        patterns = common.materialise(patterns.where(F.col("trusted") >= support).select("pattern", "score", "k"), "pii-patterns")
+        doubt = F.coalesce(F.sum(F.log1p(-F.least(F.col("score"), F.lit(0.999)))), F.lit(0.0))
+        first = F.max(F.when(F.col("k").isNotNull(), F.struct("score", (-F.col("k")).alias("k"))))
+        instances = edges.join(patterns, "pattern", "left").groupBy("value").agg(seed, own, (F.lit(1.0) - F.exp(doubt)).alias("p"), (-first["k"]).alias("behind"))
+        instances = instances.select("value", F.when(F.col("seed"), 1.0).otherwise(F.col("p")).alias("trust"), F.coalesce("own", "behind").alias("k"))
+    return common.materialise(patterns.where(F.col("score") >= trust).select("pattern", F.col("k").alias("kind"), "score"), "pii-trusted")
 
 
 def _written(spans: Column, kind: str) -> Column:

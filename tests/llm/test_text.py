@@ -295,6 +295,19 @@ def test_patterns_find_unseen_identifiers(spark, monkeypatch):
     assert out[7]["spans"] == "" and out[8]["spans"] == "" and out[0]["spans"] == "phone:10:26"
 
 
+def test_discovered_instances_lead_to_new_patterns(spark, monkeypatch):
+    texts = [f"call tel: +1 988 555 24{i} now" for i in range(10, 40)]
+    texts += [f"{w} 0988-555-77{i} now" for i in range(10, 18) for w in ("tel:", "ring")] + ["ring 0988-555-9901 now", "ring 0988-555-9902 now", "page 0988-555-9903 now"]
+    out = [r["spans"] for r in sorted(op10(spark, texts, monkeypatch), key=lambda r: r["doc_id"])]
+    assert out[30:46] == ["phone:5:18"] * 16 and out[46:] == ["phone:5:18"] * 2 + [""]
+
+
+def test_identifiers_like_emails_need_no_digits(spark, monkeypatch):
+    texts = [f"mail: {c}@example.com now" for c in "abcdefgh"] + ["mail: john@intranet now", "see john@intranet now", "mail: jane now"]
+    out = [r["spans"] for r in sorted(op10(spark, texts, monkeypatch), key=lambda r: r["doc_id"])]
+    assert out[8:] == ["email:6:19", "", ""]
+
+
 def test_repeated_null_and_no_rows(spark, monkeypatch):
     out = op10(spark, None, monkeypatch, [(1, "a@b.c"), (1, "a@b.c"), (1, "x"), (None, "a@b.c"), (2, None)])
     assert sorted((r["doc_id"] or 0, r["spans"]) for r in out) == [(0, "email:0:5"), (1, ""), (1, "email:0:5"), (1, "email:0:5"), (2, "")]
