@@ -40,7 +40,7 @@ CACHE_WORDS = 300_000
 class WordTokenizer:
     """Byte-level BPE whose words start at single spaces: ids of a word do not depend on its neighbours, so each
     distinct word is encoded once and then looked up. That holds where every space is followed by something else
-    than white space; other texts are encoded whole.
+    than white space; other texts are encoded whole. Texts that hold the content of an added token go to `tokenizers`.
 
     The vocabulary file is one of the `tokenizers` library. Its merges are in the order of its ids, which is all that
     the faster encoder of `tiktoken` needs to give the same ids; loading fails if they differ on a probe.
@@ -59,15 +59,19 @@ class WordTokenizer:
         special = {x["content"] for x in spec.get("added_tokens", [])}
         ranks = {bytes(byte[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in special}
         self.fast = tiktoken.Encoding(os.path.basename(path), pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        given = Tokenizer.from_file(path)
-        given.encode_special_tokens = True
-        probe = "It's  the 3rd\n\n caf\u00e9 \u4e2d\u6587 \u0440\u0443\u0441 <|endoftext|> x\u00a0\t_=+ 12345 don't"
-        if given.encode(probe, add_special_tokens=False).ids != self.fast.encode_ordinary(probe):
+        self.given, self.added = Tokenizer.from_file(path), sorted(special)
+        probe = "It's  the 3rd\n\n caf\u00e9 \u4e2d\u6587 \u0440\u0443\u0441 <|text|> x\u00a0\t_=+ 12345 don't"
+        if self.given.encode(probe, add_special_tokens=False).ids != self.fast.encode_ordinary(probe):
             raise ValueError(f"{path}: not a byte-level BPE in the order of its ids")
         self.most, self.known = most, {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        return [array("I", self.fast.encode_ordinary(t)).tobytes() for t in texts]
+        return [array("I", self._ids(t)).tobytes() for t in texts]
+
+    def _ids(self, text: str) -> list[int]:
+        if any(a in text for a in self.added):
+            return self.given.encode(text, add_special_tokens=False).ids
+        return self.fast.encode_ordinary(text)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
@@ -82,6 +86,9 @@ class WordTokenizer:
         known = self.known
         new: dict[str, None] = {}
         for i, words in enumerate(parts):
+            if any(a in texts[i] for a in self.added):
+                parts[i] = None
+                continue
             for w in words[1:]:
                 if w not in known and (len(w) < 2 or w[1].isspace()):
                     parts[i] = None

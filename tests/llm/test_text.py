@@ -61,6 +61,15 @@ def tokenizers_cached():
     return _known[0]
 
 
+def test_added_tokens_keep_their_ids():
+    from tokenizers import Tokenizer
+
+    given = Tokenizer.from_file(packing.default_tokenizer())
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>  y", "a <|endoftext b"]
+    got = [np.frombuffer(x, "<u4").tolist() for x in packing.tokenizer(packing.default_tokenizer()).encode(texts)]
+    assert got == [given.encode(t, add_special_tokens=False).ids for t in texts] and got[0] == [64, 220, 50256, 275]
+
+
 def test_documents_are_tokenized_alike(spark):
     texts = [r[0] for r in spark.read.parquet(f"{SF}/documents.parquet").select("text").limit(150).collect()]
     want = [e.ids for e in tokenizers_cached().encode_batch(texts, add_special_tokens=False)]
