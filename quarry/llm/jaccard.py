@@ -206,10 +206,10 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int =
     blocks = heads.join(several, "region").withColumn("part", F.pmod(F.xxhash64("node", F.lit(1)), F.ceil(F.col("m") / block)))
     edges = edges.unionByName(linked(blocks.select("region", "part", "node"), ["region", "part"]))
     # round 2: all replicas in regions with several components. Most regions hold one document alone: 32-bit hashes
-    # find those that may hold more, at a fraction of the bytes, and exact keys decide among the rest
+    # of regions find those that may hold more, and exact keys decide among the rest; nodes are compared whole
     label = labels(edges)
     replicas = linkable.select("node", F.explode("pivots").alias("region")).withColumn("r", F.hash("region"))
-    maybe = replicas.select("r", F.hash("node").alias("h")).groupBy("r").agg(F.min("h").alias("low"), F.max("h").alias("high")).where("low <> high").select("r")
+    maybe = replicas.groupBy("r").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high").select("r")
     maybe = common.materialise(maybe, "jaccard-maybe")
     few = maybe.count() <= BROADCAST_IDS
     shared = replicas.join(F.broadcast(maybe) if few else maybe, "r", "left_semi").select("region", "node").distinct()

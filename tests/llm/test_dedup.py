@@ -5,6 +5,7 @@ import uuid
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -82,6 +83,15 @@ def test_jaccard_threshold_is_exact(spark, docs):
     assert [got[2 * k] == got[2 * k + 1] for k in range(4)] == want and True in want and False in want
 
 
+def test_jaccard_links_sets_whose_short_hashes_collide(spark, docs):
+    """Two sets of different first pivots, whose 64-bit keys have equal 32-bit hashes."""
+    before, after = (" ".join(f"{c}{i}" for i in range(20)) for c in "ab")
+    texts = [f"{before} x{i} {after}" for i in (220929, 230736)]
+    keys = [(jaccard.set_key(s),) for s in jaccard.sets(*jaccard.common.utf8(pa.array(texts)), 5)]
+    assert len(set(keys)) == 2 and spark.createDataFrame(keys, "k long").select(F.hash("k")).distinct().count() == 1
+    assert [r["component_id"] for r in jaccard.join(docs(texts)).collect()] == [0, 0]
+
+
 def test_jaccard_edge_rows(spark, docs, odd):
     out = {r["doc_id"]: r["component_id"] for r in jaccard.join(odd).collect()}
     assert out == {0: 0, 1: 1, 2: 2, 3: 3, 4: 4, 5: 5, 6: 6, 7: 6}
