@@ -65,7 +65,7 @@ def test_jaccard_equals_brute_force(spark, docs, prose):
                 copy[rng.randrange(len(copy))] = "x"
             texts.append(" ".join(copy))
     texts += [f"{shared} {prose(5)}" for _ in range(20)] + [f"{shared} {prose(60)}" for _ in range(20)]
-    for block in (4,):  # regions of one block, and of many
+    for block in (1 << 20, 400):  # regions of one block, and of many
         out = jaccard.join(docs(texts).withColumn("n_shingles", F.lit("clash")), block=block).orderBy("doc_id").collect()
         want, sizes = brute_jaccard(list(range(len(texts))), texts)
         assert [r["component_id"] for r in out] == [want[i] for i in range(len(texts))]
@@ -106,6 +106,17 @@ def test_jaccard_stage(spark, docs, prose):
     df = docs([a, b, a, b + " x", "", None])
     kept = jaccard.stage_jaccard_join(spark, df, SF)
     assert kept.columns == df.columns and sorted(r["doc_id"] for r in kept.collect()) == [0, 1, 4, 5]
+    assert jaccard.stage_jaccard_join(spark, df.limit(0), SF).count() == 0
+
+
+def test_jaccard_stage_with_repeated_ids(spark, prose):
+    """Different texts of one id stay; equal rows, and texts alike, stay once; extra columns and nulls are no trouble."""
+    a, b, c = prose(40), prose(40), prose(40)
+    rows = [(1, a), (1, a), (1, b), (2, a + " x"), (2, c), (None, a), (None, None), (3, None), (3, None), (4, c), (5, "")]
+    df = spark.createDataFrame([(*r, "clash", 1) for r in rows], "doc_id long, text string, node string, n long")
+    kept = jaccard.stage_jaccard_join(spark, df, SF)
+    got = sorted(((r["doc_id"] or 0, r["text"] or "") for r in kept.collect()))
+    assert kept.columns == df.columns and got == sorted([(1, a), (1, b), (2, c), (0, a), (0, ""), (3, ""), (3, ""), (5, "")])
 
 
 def vectors(spark, rows):
