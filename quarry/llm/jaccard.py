@@ -293,7 +293,7 @@ def _place(width: int, percent: int, bits: int, shift: int, heavy):
             spot = spot[np.arange(len(of)) - first < (window - rest)[of] + rest[of]]
             lists = _lists(pivot[spot].view(np.int64), np.bincount(owner[spot], minlength=len(every)), pa.int64())
             m = len(every)
-            where = -1 - (node.view(np.uint64) & np.uint64(63)).astype(np.int32)
+            where = -1 - np.arange(m, dtype=np.int32) % 64
             yield pa.RecordBatch.from_arrays([pa.array(where, pa.int32()), batch.column(0), batch.column(1), pa.array(n), pa.array(rest), pa.array(node), lists, *(none(m, pa.binary()) for _ in range(4))], names=_PLACED)
             valid = np.zeros(m, bool)
             valid[np.unique(node, return_index=True)[1]] = True

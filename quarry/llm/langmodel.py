@@ -33,6 +33,8 @@ END = 0xFF  # never a byte of UTF-8: pads the first contexts and ends a text
 SPACE = 0x20
 END_TOKEN = 1  # stands for the hash of the end token
 SPLIT = 3  # context bytes of a subtree's root
+CHUNK = 2 << 20  # bytes of text that one vectorised step takes
+HELD = 3_000_000  # distinct grams or tokens that a task sums before it sends them
 
 def _lgamma(x: np.ndarray) -> np.ndarray:
     """By recurrence up to 8, then Stirling's series."""
@@ -72,14 +74,16 @@ def normal_bytes(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.n
 
 def gram_codes(text: np.ndarray, bounds: np.ndarray, depth: int) -> np.ndarray:
     """For each byte, the code of it and the `depth` bytes before it (END before the text's first byte)."""
-    n = len(text)
-    within = np.arange(n) - np.repeat(bounds[:-1], np.diff(bounds))
     code = text.astype(np.uint64)
+    shifted = code.copy()
     for k in range(1, depth + 1):
-        before = np.full(n, END, np.uint64)
-        before[k:] = text[:-k] if n > k else text[:0]
-        before[within < k] = END
-        code |= before << np.uint64(8 * k)
+        np.left_shift(shifted, np.uint64(8), out=shifted)
+        code[k:] |= shifted[:-k] if len(text) > k else shifted[:0]
+    full = (1 << (8 * (depth + 1))) - 1
+    for k in range(depth):  # the first bytes of a text have END before them
+        at = bounds[:-1][np.diff(bounds) > k] + k
+        own = (1 << (8 * (k + 1))) - 1
+        code[at] = (code[at] & np.uint64(own)) | np.uint64(full ^ own)
     return code
 
 
@@ -224,36 +228,62 @@ def _sum_codes(codes: np.ndarray, *weights: np.ndarray) -> tuple[np.ndarray, ...
 def count(texts: DataFrame, depth: int) -> DataFrame:
     """(kind, code, n, m) over the columns `text`, `learn` and `ask`: kind 0 for grams of depth + 1 bytes, 1 for tokens.
 
-    n counts rows to learn from (learn = 1), m rows to score (ask = 1); tokens are counted in the former only.
+    n counts rows to learn from (learn = 1), m rows to score (ask = 1); tokens are counted in the former only. Each
+    task sums what it has read, and sends it packed by ranges of a hash; a range is summed in one task.
     """
+    buckets = max(16, 4 * int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    names = ["kind", "bucket", "codes", "n", "m"]
+
+    def packed(kind: int, codes: np.ndarray, n: np.ndarray, m: np.ndarray) -> pa.RecordBatch:
+        bucket = (common.mix(codes) % np.uint64(buckets)).astype(np.int32)
+        order = np.argsort(bucket, kind="stable")
+        ends = np.flatnonzero(np.diff(bucket[order])) + 1
+        first = np.concatenate([[0], ends]) if len(codes) else np.zeros(0, np.int64)
+        last = np.append(ends, len(codes)) if len(codes) else first
+        columns = [pa.array([x[order][i:j].tobytes() for i, j in zip(first, last, strict=True)], pa.binary()) for x in (codes, n, m)]
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(first), kind, np.int32)), pa.array(bucket[order][first]), *columns], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[list[tuple[np.ndarray, ...]]] = [[], []]
+
+        def merged(kind: int) -> tuple[np.ndarray, ...]:
+            return _sum_codes(*(np.concatenate(x) for x in zip(*held[kind], strict=True)))
+
         for batch in batches:
             data, bounds = common.utf8(batch.column(0))
             learn, ask = (batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in (1, 2))
-            grams, tokens = [], []
-            for a, b in common.chunks(bounds):
+            for a, b in common.chunks(bounds, CHUNK):
                 piece, edge = data[bounds[a] : bounds[b]], bounds[a : b + 1] - bounds[a]
                 normal, at = normal_bytes(piece, edge)
                 of = np.repeat(np.arange(a, b), np.diff(at))
-                grams.append(_sum_codes(gram_codes(normal, at, depth), learn[of], ask[of]))
+                held[0].append(_sum_codes(gram_codes(normal, at, depth), learn[of], ask[of]))
                 value, doc, _, _ = common.words(piece, edge)
                 value = value[learn[doc + a] > 0]
-                tokens.append(_sum_codes(np.where(value <= END_TOKEN, value + np.uint64(2), value), np.ones(len(value)), np.zeros(len(value))))
+                held[1].append(_sum_codes(np.where(value <= END_TOKEN, value + np.uint64(2), value), np.ones(len(value)), np.zeros(len(value))))
             if learn.any():
-                tokens.append((np.array([END_TOKEN], np.uint64), np.array([learn.sum()]), np.array([0])))
-            for kind, found in enumerate((grams, tokens)):
-                if found:
-                    codes, n, m = _sum_codes(*(np.concatenate(x) for x in zip(*found, strict=True)))
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(codes), kind, np.int32)), pa.array(codes.view(np.int64)), pa.array(n), pa.array(m)], names=["kind", "code", "n", "m"])
-
-    counted = texts.select("text", "learn", "ask").mapInArrow(run, "kind int, code long, n long, m long")
-    return counted.groupBy("kind", "code").agg(F.sum("n").alias("n"), F.sum("m").alias("m"))
+                held[1].append((np.array([END_TOKEN], np.uint64), np.array([learn.sum()]), np.array([0])))
+            for kind in (0, 1):
+                if sum(len(x[0]) for x in held[kind]) > HELD:
+                    held[kind] = [merged(kind)]
+                    if len(held[kind][0][0]) > HELD // 2:
+                        yield packed(kind, *held[kind][0])
+                        held[kind] = []
+        for kind in (0, 1):
+            if held[kind]:
+                yield packed(kind, *merged(kind))
+
+    def summed(group: pa.Table) -> pa.Table:
+        joined = lambda c, kind: np.concatenate([np.frombuffer(x, kind) for x in group[c].to_pylist()])
+        codes, n, m = _sum_codes(joined("codes", np.uint64), joined("n", np.int64), joined("m", np.int64))
+        return pa.table({"kind": pa.array(np.full(len(codes), group["kind"][0].as_py(), np.int32)), "code": codes.view(np.int64), "n": n, "m": m})
+
+    counted = texts.select("text", "learn", "ask").mapInArrow(run, "kind int, bucket int, codes binary, n binary, m binary")
+    return counted.groupBy("kind", "bucket").applyInArrow(summed, "kind int, code long, n long, m long")
 
 
 def _collect(df: DataFrame, value: str = "n") -> tuple[np.ndarray, np.ndarray]:
-    got = df.toPandas()
-    return got["code"].to_numpy(dtype=np.int64).view(np.uint64), got[value].to_numpy(dtype=np.float64)
+    got = df.select("code", F.col(value).cast("double").alias("v")).toArrow()
+    return got["code"].to_numpy().view(np.uint64), got["v"].to_numpy()
 
 
 def _arrays(group: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -312,8 +342,10 @@ class WordCounts:
     counts: np.ndarray
 
 
-def score(docs: DataFrame, training: DataFrame | Column, key: str = "doc_id", text: str = "text", depth: int = 6, most: int = 300_000, most_words: int = 300_000) -> DataFrame:
-    """(key, n_tokens, n_known, train_tokens, base_score, score) for each row of `docs`.
+def score(docs: DataFrame, training: DataFrame | Column, key: str = "doc_id", text: str = "text", depth: int = 5, most: int = 2_000_000, most_words: int = 1_000_000) -> DataFrame:
+    """(key, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte) for each row of `docs`.
+
+    `score` is the log10 probability of the text, and `bits_per_byte` its code length over the bytes of its normal form.
 
     `training` has the texts to learn from, or is a condition on `docs`. `most` bounds the grams that are broadcast
     with their scores, `most_words` the tokens; the others are joined by shuffle, so neither bounds what is counted.
@@ -345,10 +377,10 @@ def score(docs: DataFrame, training: DataFrame | Column, key: str = "doc_id", te
         for batch in batches:
             data, bounds = common.utf8(batch.column(1))
             rows = batch.num_rows
-            n_tokens, n_known = np.zeros(rows, np.int64), np.zeros(rows, np.int64)
+            n_tokens, n_known, n_bytes = (np.zeros(rows, np.int64) for _ in range(3))
             base, log10 = np.zeros(rows), np.zeros(rows)
             rare_doc, rare_code, rare_gram_doc, rare_gram = [], [], [], []
-            for a, b in common.chunks(bounds):
+            for a, b in common.chunks(bounds, CHUNK):
                 part, edge = data[bounds[a] : bounds[b]], bounds[a : b + 1] - bounds[a]
                 normal, at = normal_bytes(part, edge)
                 which, unique = pd.factorize(gram_codes(normal, at, depth))
@@ -357,6 +389,7 @@ def score(docs: DataFrame, training: DataFrame | Column, key: str = "doc_id", te
                 value = np.zeros(len(unique))
                 value[hit] = scored_grams[place[hit]]
                 log10[a:b] = np.add.reduceat(value[which], at[:-1])
+                n_bytes[a:b] = np.diff(at)
                 far = np.flatnonzero(~hit[which])
                 rare_gram_doc.append(np.searchsorted(at, far, side="right") - 1 + a)
                 rare_gram.append(unique[which[far]])
@@ -381,7 +414,7 @@ def score(docs: DataFrame, training: DataFrame | Column, key: str = "doc_id", te
                 rare_doc.append(doc[rest] + a)
                 rare_code.append(value[rest])
             rare, rare_grams = listed(rare_doc, rare_code, rows), listed(rare_gram_doc, rare_gram, rows)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n_tokens), pa.array(n_known), pa.array(base), pa.array(log10), rare, rare_grams], names=names)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n_tokens), pa.array(n_known), pa.array(n_bytes), pa.array(base), pa.array(log10), rare, rare_grams], names=names)
 
     def listed(of: list[np.ndarray], codes: list[np.ndarray], rows: int) -> pa.Array:
         of = np.concatenate(of) if of else np.zeros(0, np.int64)
@@ -390,10 +423,10 @@ def score(docs: DataFrame, training: DataFrame | Column, key: str = "doc_id", te
         ends = np.concatenate([[0], np.cumsum(np.bincount(of, minlength=rows))]).astype(np.int32)
         return pa.ListArray.from_arrays(pa.array(ends), pa.array(codes[order].view(np.int64)))
 
-    names = ["id", "n_tokens", "n_known", "base", "score", "rare", "grams"]
+    names = ["id", "n_tokens", "n_known", "n_bytes", "base", "score", "rare", "grams"]
     kind = docs.select(F.col(key).alias("id")).dtypes[0][1]
     given = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
-    scored = given.mapInArrow(run, f"id {kind}, n_tokens long, n_known long, base double, score double, rare array<bigint>, grams array<bigint>")
+    scored = given.mapInArrow(run, f"id {kind}, n_tokens long, n_known long, n_bytes long, base double, score double, rare array<bigint>, grams array<bigint>")
     result = [F.col("id").alias(key), "n_tokens", (F.col("n_known") + F.coalesce("more", F.lit(0))).alias("n_known"), F.lit(total).cast("long").alias("train_tokens")]
     if not (whole and grams_whole):
         scored = common.materialise(scored.withColumn("row", F.monotonically_increasing_id()), "lm-scores")
@@ -407,11 +440,12 @@ def score(docs: DataFrame, training: DataFrame | Column, key: str = "doc_id", te
     if not grams_whole:  # each gram of the documents has a score
         tail = scored.select("row", F.explode("grams").alias("code")).join(scores.select("code", "log10"), "code")
         out = out.join(tail.groupBy("row").agg(F.sum("log10").alias("rest")), "row", "left").withColumn("score", F.col("score") + F.coalesce("rest", F.lit(0.0)))
-    return out.select(*result, (F.col("base") + F.coalesce("extra", F.lit(0.0))).alias("base_score"), "score")
+    length = (F.col("score") * F.lit(-np.log2(10)) / F.col("n_bytes")).alias("bits_per_byte")
+    return out.select(*result, (F.col("base") + F.coalesce("extra", F.lit(0.0))).alias("base_score"), "score", length)
 
 
 def op8_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
     out = score(docs, common.remainder(F.col("doc_id"), 7) != 2)
     held = (common.remainder(F.col("doc_id"), 7) == 2).alias("held_out")
-    return out.select("doc_id", held, "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    return out.select("doc_id", held, "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte")

@@ -222,6 +222,15 @@ def test_base_score(spark, docs, most_words):
         assert r["score"] < 0
 
 
+def test_language_model_beats_the_base_on_held_out_texts(spark):
+    """The score is a probability that is better than the base's, and the code length is the same thing in bits."""
+    out = langmodel.op8_language_model(spark, "/root/testdata/sf0.1").toPandas()
+    assert len(out) == 10_000 and (out["score"] < 0).all()
+    for part in (out[out["held_out"]], out[~out["held_out"]]):
+        assert part["score"].sum() / part["n_tokens"].sum() > part["base_score"].sum() / part["n_tokens"].sum() + 0.1
+    assert 1.5 < out["bits_per_byte"].median() < 2.5
+
+
 def test_language_model_of_nothing(spark, docs, odd):
     out = langmodel.score(odd, odd.limit(0), depth=2).collect()
     assert len(out) == 8 and all(r["train_tokens"] == 0 and r["n_known"] == 0 for r in out)
