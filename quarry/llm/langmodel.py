@@ -33,8 +33,8 @@ END = 0xFF  # never a byte of UTF-8: pads the first contexts and ends a text
 SPACE = 0x20
 END_TOKEN = 1  # stands for the hash of the end token
 SPLIT = 3  # context bytes of a subtree's root
-CHUNK = 2 << 20  # bytes of text that one vectorised step takes
-HELD = 3_000_000  # distinct grams or tokens that a task sums before it sends them
+CHUNK = 1 << 20  # bytes of text that one vectorised step takes
+HELD = 1_000_000  # distinct grams or tokens that a task sums before it sends them
 
 def _lgamma(x: np.ndarray) -> np.ndarray:
     """By recurrence up to 8, then Stirling's series."""
