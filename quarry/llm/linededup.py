@@ -81,6 +81,7 @@ def drop_lines(pages: DataFrame, host: Column, text: str, ratio: float = 0.08, m
 def op9_line_dedup(spark: SparkSession, sf_dir: str, ratio: float = 0.08, min_pages: int = 5) -> DataFrame:
     """`pages`, whose hosts are in their URLs: the text of each page without its host's boilerplate lines."""
     pages = common.table(spark, sf_dir, "pages").select("page_id", host_of(F.col("url")).alias("host"), html_lines(F.col("html")).alias("text"))
+    pages = common.materialise(pages, "page-lines")  # read twice
     out = drop_lines(pages, F.col("host"), "text", ratio, min_pages, dropped="n_dropped")
     return out.select("page_id", "host", "text", "n_dropped")
 
