@@ -33,20 +33,15 @@ from pyspark.sql import functions as F
 
 from quarry.llm import common
 
-#: Words whose ids a worker remembers; when full, it starts anew.
-CACHE_WORDS = 300_000
 
+class PairEncoder:
+    """Byte-level BPE from a file of the `tokenizers` library, with the ids of its `encode(add_special_tokens=False)`.
 
-class WordTokenizer:
-    """Byte-level BPE whose words start at single spaces: ids of a word do not depend on its neighbours, so each
-    distinct word is encoded once and then looked up. That holds where every space is followed by something else
-    than white space; other texts are encoded whole. Texts that hold the content of an added token go to `tokenizers`.
-
-    The vocabulary file is one of the `tokenizers` library. Its merges are in the order of its ids, which is all that
-    the faster encoder of `tiktoken` needs to give the same ids; loading fails if they differ on a probe.
+    The file's merges are in the order of its ids, which is all that the faster encoder of `tiktoken` needs to give the
+    same ids; loading fails if they differ on a probe. Texts that hold the content of an added token go to `tokenizers`.
     """
 
-    def __init__(self, path: str, most: int = CACHE_WORDS):
+    def __init__(self, path: str):
         import public_tokenizers
         import tiktoken
         from tokenizers import Tokenizer
@@ -63,9 +58,9 @@ class WordTokenizer:
         probe = "It's  the 3rd\n\n caf\u00e9 \u4e2d\u6587 \u0440\u0443\u0441 <|text|> x\u00a0\t_=+ 12345 don't"
         if self.given.encode(probe, add_special_tokens=False).ids != self.fast.encode_ordinary(probe):
             raise ValueError(f"{path}: not a byte-level BPE in the order of its ids")
-        self.most, self.known = most, {}
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Little-endian unsigned 32-bit ids of each text."""
         return [array("I", self._ids(t)).tobytes() for t in texts]
 
     def _ids(self, text: str) -> list[int]:
@@ -73,38 +68,10 @@ class WordTokenizer:
             return self.given.encode(text, add_special_tokens=False).ids
         return self.fast.encode_ordinary(text)
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text."""
-        parts: list[list[str] | None] = []
-        for t in texts:
-            words = t.split(" ")
-            if len(words) > 1:
-                words[1:] = [f" {w}" for w in words[1:]]
-            parts.append(words)
-        if len(self.known) > self.most:
-            self.known = {}
-        known = self.known
-        new: dict[str, None] = {}
-        for i, words in enumerate(parts):
-            if any(a in texts[i] for a in self.added):
-                parts[i] = None
-                continue
-            for w in words[1:]:
-                if w not in known and (len(w) < 2 or w[1].isspace()):
-                    parts[i] = None
-                    break
-        for words in parts:
-            if words:
-                new.update(dict.fromkeys(w for w in words if w not in known))
-        known.update(zip(new, self._encode(list(new)), strict=True))
-        odd = [i for i, words in enumerate(parts) if words is None]
-        whole = dict(zip(odd, self._encode([texts[i] for i in odd]), strict=True)) if odd else {}
-        return [whole[i] if words is None else b"".join([known[w] for w in words]) for i, words in enumerate(parts)]
-
 
 @cache
-def tokenizer(path: str) -> WordTokenizer:
-    return WordTokenizer(path)
+def tokenizer(path: str) -> PairEncoder:
+    return PairEncoder(path)
 
 
 def pieces(df: DataFrame, path: str, key: str = "doc_id", text: str = "text", capacity: int = 1024, end_id: int = 2) -> DataFrame:

@@ -47,7 +47,7 @@ def tokenizers():
 
 @given(st.lists(st.text(alphabet="ab 's\n\té中9.<|>\u00a0", max_size=40), max_size=5))
 @settings(max_examples=150, deadline=None)
-def test_words_are_tokenized_as_whole_texts_are(texts):
+def test_ids_are_those_of_tokenizers(texts):
     want = [e.ids for e in tokenizers_cached().encode_batch(texts, add_special_tokens=False)]
     assert [np.frombuffer(x, "<u4").tolist() for x in packing.tokenizer(packing.default_tokenizer()).encode(texts)] == want
 
