@@ -367,10 +367,10 @@ def grouped(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int
     spread = given.mapInArrow(_place(width, percent, bits, shift, heavy), schema)
     found = spread.groupBy("bucket").applyInArrow(_counted(bits), f"id {kind}, text_key long, n long, rest long, node long, frequent array<bigint>, pivot long, df int")
     found = common.materialise(found, "jaccard-counts")
-    rows = found.where("pivot is null").select("id", "text_key", "n", "rest", "node", "frequent")
+    placed = found.where("pivot is null").select("id", "text_key", "n", "rest", "node", "frequent")
+    rows = common.materialise(placed.select("id", "text_key", "n", "node"), "jaccard-rows")
     shared = found.where("pivot is not null").select("node", "pivot", "df")
-    linkable = rows.where("n > 0 and id is not null")
-    classes = linkable.groupBy("node").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("rest").alias("rest"), F.first("frequent").alias("frequent"))
+    classes = placed.where("n > 0 and id is not null").groupBy("node").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("rest").alias("rest"), F.first("frequent").alias("frequent"))
     classes = common.materialise(classes, "jaccard-classes")
 
     # documents that others can meet: those whose window reaches beyond the pivots that only they have
@@ -385,22 +385,27 @@ def grouped(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int
     late = open_.where(F.col("need") > F.col("several")).select("node", F.explode(F.slice("frequent", 1, (F.col("need") - F.col("several")).cast("int"))).alias("pivot"))
     meet = common.materialise(own.unionByName(late), "jaccard-meet")
     common.discard(open_)
+    common.discard(found)
     star = meet.groupBy("pivot").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a <> z").select("pivot", "a")
     edges = common.materialise(meet.join(star, "pivot").where("a <> node").select("a", F.col("node").alias("b")).distinct(), "jaccard-meetings")
     common.discard(meet)
     clusters = common.materialise(components(edges, "jaccard-components").select("node", F.col("component").alias("region")), "jaccard-clusters")
     common.discard(edges)
 
-    links = _links(given, classes, clusters, width, percent, block)
+    spent = [classes, clusters]
+    links = _links(given, classes, clusters, width, percent, block, spent)
     label = components(links, "jaccard-components")
     out = classes.select("node", "rep").join(label, "node", "left").select("node", "rep", F.coalesce("component", "node").alias("component"))
     out = common.materialise(out, "jaccard-labels")
-    common.discard(clusters)
-    return rows.select("id", "text_key", "n", "node"), out
+    for frame in spent:
+        common.discard(frame)
+    return rows, out
+
 
+def _links(given: DataFrame, classes: DataFrame, clusters: DataFrame, width: int, percent: int, block: int, spent: list[DataFrame]) -> DataFrame:
+    """Edges (a, b) with the components of all links within the regions of `clusters` (node, region).
 
-def _links(given: DataFrame, classes: DataFrame, clusters: DataFrame, width: int, percent: int, block: int) -> DataFrame:
-    """Edges (a, b) with the components of all links within the regions of `clusters` (node, region)."""
+    Adds to `spent` what is no longer needed once the edges are."""
     spark = given.sparkSession
     size = classes.select("node", "n")
     columns = ["part", "region", "slot", "component", "node"]
@@ -436,6 +441,7 @@ def _links(given: DataFrame, classes: DataFrame, clusters: DataFrame, width: int
         placed = texts.mapInArrow(run, ", ".join(f"{c} long" for c in columns) + ", set binary")
         found = common.materialise(placed.groupBy("part").applyInArrow(what, schema), "jaccard-found")
         common.discard(spots)
+        spent.append(found)
         return found
 
     def whole(rows: DataFrame, total: int) -> DataFrame:
@@ -446,7 +452,9 @@ def _links(given: DataFrame, classes: DataFrame, clusters: DataFrame, width: int
     members = clusters.select("node", "region", F.col("node").alias("component"))
     for level in range(LEVELS + 1):
         members = common.materialise(members.join(size, "node"), "jaccard-members")
+        spent.append(members)
         regions = common.materialise(members.groupBy("region").agg(F.sum("n").alias("total"), F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("region", "total"), "jaccard-regions")
+        spent.append(regions)
         small = regions.where(F.col("total") <= block)
         amount = small.agg(F.sum("total")).first()[0]
         if amount:
@@ -467,7 +475,7 @@ def _links(given: DataFrame, classes: DataFrame, clusters: DataFrame, width: int
         edges = edges.unionByName(found.where("slot = -2").select("a", "b"))
         label = components(edges, "jaccard-components")
         fresh = found.where("slot > -2").select("node", F.xxhash64("region", "slot", F.lit(level)).alias("region")).distinct()
-        old, members = members, fresh.join(label, "node", "left").select("node", "region", F.coalesce("component", "node").alias("component"))
+        members = fresh.join(label, "node", "left").select("node", "region", F.coalesce("component", "node").alias("component"))
     return edges
 
 
@@ -533,7 +541,8 @@ def stage_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     gone = common.materialise(several.join(first.select("id", "text_key"), ["id", "text_key"], "left_anti"), "jaccard-gone")
     names = {"id": "_jaccard_id", "text_key": "_jaccard_text_key"}
     own = [F.col("doc_id").alias(names["id"]), F.xxhash64("text").alias(names["text_key"])]
-    kept = docs.select("*", *own).join(gone.withColumnsRenamed(names), [*names.values()], "left_anti")
+    gone = gone.withColumnsRenamed(names)
+    kept = docs.select("*", *own).join(F.broadcast(gone) if gone.count() <= BROADCAST_SPOTS else gone, [*names.values()], "left_anti")
     # equal rows of a text that stays
     twice = linkable.join(first.select("id", "text_key"), ["id", "text_key"]).groupBy("id", "text_key").agg(F.count("*").alias("rows")).where("rows > 1").select("id", "text_key")
     twice = common.materialise(twice, "jaccard-twice").withColumnsRenamed(names)
