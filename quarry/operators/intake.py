@@ -142,11 +142,15 @@ def route(files: DataFrame, rules: DataFrame, layouts: DataFrame) -> DataFrame:
     """
     active = rules.where("status = 'ACTIVE'").select("rule_id", F.col("submitter_id").alias("rs"), F.col("file_type").alias("rt"), "pattern", "extension", F.col("layout_id").alias("rl"), "priority")
     match = (
-        ((F.col("rs") == F.col("submitter_id")) | (F.col("rs") == "*"))
-        & (F.col("extension").isNull() | F.lower("filename").endswith(F.concat(F.lit("."), F.lower("extension"))))
+        (F.col("extension").isNull() | F.lower("filename").endswith(F.concat(F.lit("."), F.lower("extension"))))
         & (F.col("pattern").isNull() | F.expr("filename RLIKE concat('^(?:', pattern, ')')"))
     )
-    hit = files.join(F.broadcast(active) if active.count() <= 10_000 else active, match)
+    few = active.count() <= 10_000
+    # own rules meet their files by submitter; each file tries those of all submitters, which have a file type each
+    mine = files.join(F.broadcast(active) if few else active, (F.col("rs") == F.col("submitter_id")) & match)
+    shared = active.where("rs = '*'")
+    all_ = files.where("submitter_id <> '*'").withColumn("_all", F.lit("*")).join(F.broadcast(shared) if few else shared, (F.col("rs") == F.col("_all")) & match).drop("_all")
+    hit = mine.unionByName(all_)
     own = F.when(F.col("rs") == F.col("submitter_id"), 0).otherwise(1)
     scored = hit.withColumn("score", F.struct(own.alias("own"), F.col("priority").alias("p")))
     types = scored.groupBy("group_id").agg(F.count_distinct("rt").alias("types"), F.min("rt").alias("rule_type"), F.min("score").alias("top"))

@@ -1,6 +1,7 @@
 """Delimited files to typed, month-partitioned Parquet, with an exact account of what was lost.
 
-One scan, one projection, one write; the counters come from the same pass. `read = written + rejected`; rows of the
+One scan of the files: typed rows are kept on the executors' disks while rows, rejects and counters are taken from them,
+and computed again where an executor is lost. Months are written by tasks of bounded size. `read = written + rejected`; rows of the
 wrong shape are counted apart and belong to neither. Null counts are over kept rows, invalid counts over all.
 """
 
@@ -12,6 +13,7 @@ from datetime import datetime
 from functools import reduce
 from operator import or_
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -82,13 +84,13 @@ def parse_to_silver(
         "submission_id": F.lit(submission_id), "source_object_key": F.col("_source_file"), "ingested_at": F.lit(now.replace(tzinfo=None)).cast("timestamp_ntz"),
         "layout_id": F.lit(layout.layout_id), "layout_version": F.lit(layout.version),
     }
-    typed = typed.withColumns(lineage)
+    typed = typed.withColumns(lineage).persist(StorageLevel.DISK_ONLY)
     good = typed.where(F.col(CORRUPT).isNull() & ~F.col("_row_rejected")).drop(CORRUPT, "_row_rejected", "_invalid", "_source_file")
-    writer = good.repartition(F.col("atomic_month"), F.pmod(F.xxhash64(*[F.col(f"`{c.name}`") for c in layout.columns]), F.lit(8))).write
-    writer.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("atomic_month").parquet(out)
+    good.hint("rebalance", "atomic_month").write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("atomic_month").parquet(out)
     if rejected:
         typed.where(F.col(CORRUPT).isNotNull() | F.col("_row_rejected")).drop("_row_rejected").write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(rejected)
     found = metrics(typed, layout, ["_source_file", "atomic_month"]).collect()  # files x months rows
+    typed.unpersist()
     r = ParseReport(submission_id, layout.layout_id)
     files: dict[str, dict] = {}
     for row in found:

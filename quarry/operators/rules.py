@@ -10,6 +10,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from quarry.functions.exprs import to_double
+from quarry.sources.files import ObjectStore
+
 #: Statements that a custom query must not hold, as whole words (fixed values).
 BLOCKED = ("DROP", "DELETE", "UPDATE", "INSERT", "CREATE", "ALTER", "COPY", "ATTACH", "DETACH", "EXPORT", "IMPORT", "PRAGMA")
 KINDS = ("NOT_NULL", "RANGE", "ALLOWED_VALUES", "REGEX", "UNIQUE_KEY", "CUSTOM_SQL")
@@ -61,7 +64,8 @@ def guard(sql: str) -> str:
 
 def check_pattern(pattern: str) -> str:
     """Patterns keep to what RE2 has as well: no look-around and no back-references."""
-    if re.search(r"\(\?<?[=!]|\\[1-9]|\(\?>|[*+?}]\+", pattern):
+    outside = re.sub(r"\[\^?\]?(?:\\.|[^\]\\])*\]", "[]", re.sub(r"\\[^1-9]", "", pattern))  # a class may hold any sign
+    if re.search(r"\(\?<?[=!]|\\[1-9]|\(\?>|[*+?}]\+", outside):
         raise ValueError(f"pattern {pattern!r}: look-around, back-references and possessive repeats are not portable")
     re.compile(pattern)
     return pattern
@@ -74,7 +78,7 @@ def predicate(rule: Rule) -> Column | None:
     if rule.kind == "NOT_NULL":
         return c.isNull()
     if rule.kind == "RANGE":
-        d = c.cast("string").try_cast("double")
+        d = to_double(F.trim(c.cast("string")))
         low, high = p.get("min"), p.get("max")
         out = [x for x in (d < low if low is not None else None, d > high if high is not None else None) if x is not None]
         return d.isNotNull() & reduce(lambda a, b: a | b, out, F.lit(False))
@@ -106,7 +110,9 @@ def violating_rows(df: DataFrame, rule: Rule) -> DataFrame:
 
 
 def _with_silver(df: DataFrame, sql: str) -> DataFrame:
-    return df.sparkSession.sql(re.sub(r"(?i)\bsilver\b", "{silver}", sql.replace("{", "{{").replace("}", "}}")), silver=df)
+    """The query over a table `silver`, a common table expression: literals and columns of that name mean what they say."""
+    escaped = sql.rstrip("; \t\r\n").replace("{", "{{").replace("}", "}}")
+    return df.sparkSession.sql("WITH silver AS (SELECT * FROM {silver_rows}) " + escaped, silver_rows=df)
 
 
 def evaluate(df: DataFrame, rules: list[Rule]) -> DataFrame:
@@ -182,12 +188,12 @@ def resolve_rule_set(submissions: DataFrame, rule_sets: DataFrame, strict_tiers:
 
     Submissions: submission_id, file_type, layout_version, coverage_start_month, coverage_end_month. Rule sets:
     rule_set_id, file_type, layout_version?, effective_start?, effective_end?, status. A bounded window must overlap
-    the coverage. Tiers: the layout's version within its window, the version, the type within its window, the type.
+    the coverage; a submission with one of its months alone covers that month. Tiers: the layout's version within its window, the version, the type within its window, the type.
     An unbounded window counts as overlapping, unless `strict_tiers` sets it apart.
     """
     from quarry.functions.exprs import month_end, month_start
 
-    s = submissions.select("submission_id", "file_type", "layout_version", month_start(F.col("coverage_start_month")).alias("s0"), month_end(F.coalesce("coverage_end_month", "coverage_start_month")).alias("s1"))
+    s = submissions.select("submission_id", "file_type", "layout_version", month_start(F.coalesce("coverage_start_month", "coverage_end_month")).alias("s0"), month_end(F.coalesce("coverage_end_month", "coverage_start_month")).alias("s1"))
     r = rule_sets.where("status = 'ACTIVE'").select("rule_set_id", F.col("file_type").alias("rt"), F.col("layout_version").alias("rv"), "effective_start", "effective_end")
     bounded = F.col("effective_start").isNotNull() | F.col("effective_end").isNotNull()
     overlap = F.coalesce(
@@ -203,14 +209,19 @@ def resolve_rule_set(submissions: DataFrame, rule_sets: DataFrame, strict_tiers:
     return best.select("submission_id", chosen.alias("rule_set_id"), F.col("b.tier").alias("tier"), F.when(F.col("b.tier").isNull(), 0).otherwise(F.col("b.candidates")).cast("long").alias("candidates"))
 
 
-def validate(spark: SparkSession, silver: DataFrame, rules: list[Rule], sample_dir: str | None = None, order: list[str] | None = None) -> dict:
-    """Findings, outcome, rows and rows by month of a silver table; samples are written for rules with violations."""
+def validate(spark: SparkSession, silver: DataFrame, rules: list[Rule], sample_dir: str | None = None, order: list[str] | None = None, report: tuple[ObjectStore, str] | None = None) -> dict:
+    """Findings, outcome, rows and rows by month of a silver table; samples are written for rules with violations, and the
+    whole as JSON to a key of an object store, if given."""
     findings = [r.asDict() for r in evaluate(silver, rules).orderBy("name", "rule_id").collect()]
     frame = spark.createDataFrame([(f["severity"], f["passed"]) for f in findings], "severity string, passed boolean")
     verdict = outcome(frame).first()
     months = {r[0]: r[1] for r in silver.groupBy("atomic_month").count().collect()} if "atomic_month" in silver.columns else {}
     if sample_dir and any(f["violations_count"] for f in findings):
         samples(silver, rules, order or silver.columns).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("rule_id").parquet(sample_dir)
-        for r in (x for x in rules if x.enabled and x.kind == "CUSTOM_SQL"):
+        broken = {f["rule_id"] for f in findings if f["violations_count"]}
+        for r in (x for x in rules if x.enabled and x.kind == "CUSTOM_SQL" and x.rule_id in broken):
             violating_rows(silver, r).limit(SAMPLE_ROWS).write.mode("overwrite").parquet(f"{sample_dir}/rule_id={r.rule_id}")
-    return {"findings": findings, "outcome": verdict["outcome"], "submission_status": verdict["submission_status"], "total_rows": silver.count() if not findings else findings[0]["denominator_count"], "rows_by_month": months}
+    out = {"findings": findings, "outcome": verdict["outcome"], "submission_status": verdict["submission_status"], "total_rows": silver.count() if not findings else findings[0]["denominator_count"], "rows_by_month": months}
+    if report:
+        report[0].put(report[1], json.dumps(out, sort_keys=True, default=str).encode())
+    return out

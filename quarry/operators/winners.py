@@ -70,11 +70,15 @@ def mark_processed(queue: DataFrame, months: DataFrame, now: Column) -> DataFram
 def overwrite_months(silver: DataFrame, out: str, months: list[str] | None, submitter_id: str, state: str | None, file_type: str, now: Column) -> None:
     """Replace the named months of a submitter's gold table and no others, in one write.
 
-    Lineage columns are added only where the data has none of that name, in whatever case.
+    Lineage columns are added only where the data has none of that name, in whatever case; data without a month has
+    the one named, or `__all__`. A named month without rows is an error: its old rows would stay as if they were new.
     """
     have = {c.lower() for c in silver.columns}
-    lineage = {"submitter_id": F.lit(submitter_id), "state": F.lit(state or "__unknown__"), "file_type": F.lit(file_type), "atomic_month": F.lit(UNKNOWN_MONTH)}
+    lineage = {"submitter_id": F.lit(submitter_id), "state": F.lit(state or "__unknown__"), "file_type": F.lit(file_type), "atomic_month": F.lit(months[0] if months and len(months) == 1 else "__all__")}
     df = silver.withColumns({k: v for k, v in lineage.items() if k not in have}).withColumn("gold_built_at", now)
     if months and months != ["__all__"]:
         df = df.where(F.col("atomic_month").isin(months))
+        there = {r[0] for r in df.select("atomic_month").distinct().collect()}
+        if missing := sorted(set(months) - there):
+            raise ValueError(f"no rows for {', '.join(missing)}")
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("atomic_month").parquet(out)

@@ -128,6 +128,23 @@ def rule_custom_sql(spark, sf_dir):
     return rules.evaluate(read(spark, sf_dir, "orders"), [_CUSTOM]).select("rule_id", "violations_count", "denominator_count")
 
 
+_TEXT = "CASE WHEN event_id % 5 = 0 THEN CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) || 'd' WHEN event_id % 5 = 1 THEN ' ' || CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) ELSE CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) END"
+
+
+@query(f"SELECT 't' AS rule_id, count(*) FILTER (WHERE TRY_CAST(v AS DOUBLE) < 10 OR TRY_CAST(v AS DOUBLE) > 90) AS violations_count, count(*) AS denominator_count FROM (SELECT {_TEXT} AS v FROM events)")
+def rule_range_text(spark, sf_dir):
+    v = F.floor("value").cast("bigint").cast("string")
+    df = read(spark, sf_dir, "events").select(F.when(F.col("event_id") % 5 == 0, F.concat(v, F.lit("d"))).when(F.col("event_id") % 5 == 1, F.concat(F.lit(" "), v)).otherwise(v).alias("v"))
+    return rules.evaluate(df, [rules.Rule("t", "t", "RANGE", params={"column": "v", "min": 10, "max": 90})]).select("rule_id", "violations_count", "denominator_count")
+
+
+@query("SELECT 'l' AS rule_id, count(*) FILTER (WHERE event_type = 'click' AND user_id % 2 = 0) AS violations_count, count(*) AS denominator_count FROM events")
+def rule_custom_sql_literal(spark, sf_dir):
+    df = read(spark, sf_dir, "events").select(F.when(F.col("event_type") == "click", "silver").otherwise("gold").alias("silver"), "user_id")
+    rule = rules.Rule("l", "l", "CUSTOM_SQL", sql="SELECT s.* FROM silver s WHERE s.silver = 'silver' AND user_id % 2 = 0")
+    return rules.evaluate(df, [rule]).select("rule_id", "violations_count", "denominator_count")
+
+
 @query("SELECT o_orderstatus, CASE WHEN count(*) FILTER (WHERE o_totalprice > 400000) > 0 THEN 'FAIL_HARD' WHEN count(*) FILTER (WHERE o_totalprice < 1000) > 0.05 * count(*) THEN 'PASS_WITH_WARNINGS' ELSE 'PASS' END AS outcome, CASE WHEN count(*) FILTER (WHERE o_totalprice > 400000) > 0 THEN 'VALIDATION_FAILED' WHEN count(*) FILTER (WHERE o_totalprice < 1000) > 0.05 * count(*) THEN 'VALIDATED_WITH_WARNINGS' ELSE 'VALIDATED' END AS submission_status FROM orders GROUP BY 1")
 def validation_outcome(spark, sf_dir):
     counted = read(spark, sf_dir, "orders").groupBy("o_orderstatus").agg(F.count_if(F.col("o_totalprice") > 400000).alias("h"), F.count_if(F.col("o_totalprice") < 1000).alias("s"), F.count("*").alias("denominator_count"))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import csv
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,10 +14,7 @@ from quarry.sources.layouts import CORRUPT, Layout
 def read_header(spark: SparkSession, path: str, layout: Layout) -> list[str]:
     """Column names of a file's first line."""
     first = spark.read.text(path, wholetext=False).limit(1).collect()
-    if not first:
-        return []
-    parsed = spark.read.option("sep", layout.delimiter).csv(spark.sparkContext.parallelize([first[0][0]]))
-    return [(v or "").strip() for v in parsed.first()]
+    return [v.strip() for v in next(csv.reader([first[0][0]], delimiter=layout.delimiter), [])] if first else []
 
 
 def scan_csv(spark: SparkSession, paths: list[str], layout: Layout, ragged: bool = False) -> DataFrame:
@@ -24,8 +24,9 @@ def scan_csv(spark: SparkSession, paths: list[str], layout: Layout, ragged: bool
     those the layout lacks are dropped. Files with equal headers are one scan. Compressed files are read as they are.
     """
     groups: dict[tuple[str, ...], list[str]] = {}
-    for path in paths:
-        names = read_header(spark, path, layout) if layout.header else [c.name for c in layout.columns]
+    with ThreadPoolExecutor(16) as pool:  # a small job for each file, many at a time
+        headers = [*pool.map(lambda p: read_header(spark, p, layout) if layout.header else [c.name for c in layout.columns], paths)]
+    for path, names in zip(paths, headers, strict=True):
         groups.setdefault(tuple(names), []).append(path)
     out = None
     for names, files in groups.items():

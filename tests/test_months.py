@@ -60,6 +60,11 @@ def test_gold_overwrite_replaces_one_month(spark, tmp_path):
     df = spark.read.parquet(out)
     assert {(r["Id"], r["atomic_month"]) for r in df.collect()} == {("a", "2025-01"), ("c", "2025-02")}
     assert [c.lower() for c in df.columns].count("state") == 1
+    with pytest.raises(ValueError, match="2024-01"):
+        winners.overwrite_months(rows(("e", "TX", "2025-02")), out, ["2024-01", "2025-02"], "u", "TX", "medical", F.lit(T0))
+    assert {r["Id"] for r in spark.read.parquet(out).collect()} == {"a", "c"}
+    winners.overwrite_months(rows(("f", "TX", "")).drop("atomic_month"), str(tmp_path / "whole"), None, "u", "TX", "medical", F.lit(T0))
+    assert spark.read.parquet(str(tmp_path / "whole")).first()["atomic_month"] == "__all__"
 
 
 SCHEMA = CanonicalSchema("medical/v1", "medical", "v1", (CanonicalColumn("member_id", "TEXT", True), CanonicalColumn("provider_id"), CanonicalColumn("start", "DATE", True)))

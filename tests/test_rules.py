@@ -84,3 +84,45 @@ def test_rule_set_tiers(spark):
     ).selectExpr("rule_set_id", "file_type", "layout_version", "cast(effective_start as date) effective_start", "cast(effective_end as date) effective_end", "status")
     got = {r["submission_id"]: (r["rule_set_id"], r["candidates"]) for r in rules.resolve_rule_set(s, sets).collect()}
     assert got == {"1": ("versioned", 1), "2": ("default", 1), "3": (None, 0), "4": (None, 2)}
+
+
+def test_a_range_looks_at_numbers_only(spark):
+    """A text is a number as SQL's casts have it: suffixes make none, spaces around it do no harm."""
+    df = spark.createDataFrame([("5d",), ("5f",), ("5",), (" 7 ",), ("1e3",), ("inf",), ("x",), (None,)], "v string")
+    assert sorted(r["v"] for r in rules.violating_rows(df, Rule("r", "r", "RANGE", params={"column": "v", "min": 6, "max": 99})).collect()) == ["1e3", "5", "inf"]
+
+
+def test_custom_queries_name_silver_where_they_please(spark):
+    df = spark.createDataFrame([(1, "silver", "a"), (2, "gold", "silver"), (3, "silver", "{x}")], "id int, status string, silver string")
+    found = lambda sql: sorted(r["id"] for r in rules.violating_rows(df, Rule("c", "c", "CUSTOM_SQL", sql=sql)).collect())
+    assert found("SELECT * FROM silver WHERE status = 'silver'") == [1, 3]
+    assert found("SELECT s.* FROM Silver s WHERE s.silver IN ('silver', '{x}');") == [2, 3]
+    assert found("SELECT a.* FROM silver a JOIN silver b ON a.status = b.silver") == [1, 3]
+
+
+@pytest.mark.parametrize(("pattern", "fine"), [("[*+]", True), (r"\++", True), ("[]+]+x", True), ("a++", False), ("a*+", False), (r"(a)\1", False), ("(?=a)", False)])
+def test_patterns_that_other_engines_lack(pattern, fine):
+    if fine:
+        assert rules.check_pattern(pattern) == pattern
+    else:
+        with pytest.raises(ValueError):
+            rules.check_pattern(pattern)
+
+
+def test_report_and_samples_of_broken_rules_only(spark, silver, tmp_path):
+    import json
+
+    from quarry.sources.files import ObjectStore
+
+    store = ObjectStore(spark, str(tmp_path))
+    rs = [Rule("a", "a", "NOT_NULL", params={"column": "PATIENT"}), Rule("q", "q", "CUSTOM_SQL", sql="SELECT * FROM silver WHERE CODE = 'no such'")]
+    rules.validate(spark, silver, rs, str(tmp_path / "samples"), ["CODE"], (store, "report.json"))
+    told = json.loads(store.get("report.json"))
+    assert told["outcome"] == "FAIL_HARD" and [f["rule_id"] for f in told["findings"]] == ["a", "q"]
+    assert sorted(p.name for p in (tmp_path / "samples").glob("rule_id=*")) == ["rule_id=a"]
+
+
+def test_rule_set_of_a_submission_with_its_last_month_alone(spark):
+    s = spark.createDataFrame([("s", "medical", "v1", None, "2024-05")], "submission_id string, file_type string, layout_version string, coverage_start_month string, coverage_end_month string")
+    r = spark.sql("SELECT 'R' AS rule_set_id, 'medical' AS file_type, 'v1' AS layout_version, DATE '2024-04-01' AS effective_start, DATE '2024-06-30' AS effective_end, 'ACTIVE' AS status")
+    assert rules.resolve_rule_set(s, r).first()["rule_set_id"] == "R"
