@@ -161,8 +161,15 @@ def submission_timeline(t: Tables) -> DataFrame:
 VIEWS = {f.__name__: f for f in (submission_overview, validation_findings, submitter_month_status, canonical_month_status, dashboard_kpis_daily, parse_column_health, validation_summary, submission_timeline)}
 
 
+def drop(spark: SparkSession, prefix: str = "serving_") -> None:
+    """The reverse of `register`: views that others may rest on go last."""
+    for name in reversed(VIEWS):
+        spark.catalog.dropTempView(prefix + name)
+
+
 def register(t: Tables, prefix: str = "serving_") -> dict[str, DataFrame]:
-    """All views as temporary views of the session."""
+    """All views as temporary views of the session; those of an earlier call are dropped first, the last one first."""
+    drop(next(iter(t.values())).sparkSession, prefix)
     out = {name: build(t) for name, build in VIEWS.items()}
     for name, df in out.items():
         df.createOrReplaceTempView(prefix + name)

@@ -82,6 +82,9 @@ class ObjectStore:
                 found.append({"object_key": key, "bytes": s.getLen(), "etag": f"{s.getModificationTime():x}-{s.getLen():x}", "last_modified_ms": s.getModificationTime()})
         return sorted(found, key=lambda x: x["object_key"])
 
+    def exists(self, key: str) -> bool:
+        return self._fs.exists(self._path(key))
+
     def put(self, key: str, body: bytes) -> None:
         out = self._fs.create(self._path(key), True)
         try:
