@@ -39,6 +39,11 @@ def signatures(x: np.ndarray, tables: int, bits: int) -> np.ndarray:
     return (sign * (1 << np.arange(bits, dtype=np.int64))).sum(2).astype(np.int32)
 
 
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Rows by the power of two that brings their largest component near 1: squares neither overflow nor vanish."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(1, keepdims=True))[1])
+
+
 def _forest(n: int, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Edges with the components of edges (i, j) between nodes 0..n-1: each node and its component's smallest."""
     root = np.arange(n)
@@ -97,7 +102,7 @@ def _compare(least: float, tables: int):
             at, flat = vector.offsets.to_numpy() - vector.offsets[0].as_py(), vector.flatten().to_numpy().astype(np.float64)
             out = []
             for s, e in zip([0, *ends[:-1]], ends, strict=True):
-                x = flat[at[s] : at[e]].reshape(e - s, -1)
+                x = scaled(flat[at[s] : at[e]].reshape(e - s, -1))
                 x = x / np.sqrt((x * x).sum(1, keepdims=True))
                 if (got := _group(least, int(table[s]), side[s:e], ids[s:e], members[s:e], x, signs[s:e])) is not None:
                     out.append(got)
@@ -143,7 +148,7 @@ def link(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", lab
             lengths = part["v"].map(len).to_numpy()
             for d in np.unique(lengths):
                 at = np.flatnonzero(lengths == d)
-                x = np.array(part["v"].iloc[at].tolist(), dtype=np.float64)
+                x = scaled(np.array(part["v"].iloc[at].tolist(), dtype=np.float64))
                 for i, row in zip(at, signatures(x, tables, bits)):
                     signs[i] = row
             yield part.assign(signs=signs)

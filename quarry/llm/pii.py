@@ -33,27 +33,54 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 #: Tokens that may be identifiers: four characters or more and a digit or @; without @, three digits are asked for later.
 TOKEN = r"(?<![^\x20\x09-\x0D\"'(=:\[<])(?=[A-Za-z_./+-]*+[0-9@])[A-Za-z0-9][A-Za-z0-9_@./+-]{3,}(?<=[A-Za-z0-9])(?![A-Za-z0-9_@/+-])"
 
+#: Matches whose positions are summed in one go.
+RUN = 64
+
 SPAN = "struct<s: int, e: int, m: string, left: string>"
 
 
+def let(value: Column, body) -> Column:
+    """`body` of a value that is computed once, though lambdas in it use it again and again."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def matches(text: Column, pattern: str) -> Column:
-    """Spans of all matches in order, with the matched text and the word before it (null: none).
+    """Spans of all matches in order, with the matched text and the word before it (null: none), another match or not.
 
-    Splitting at the matches gives the text between them, and so the positions.
+    Splitting at the matches gives the text between them, and so the positions: running sums, `RUN` matches at a time,
+    so that a text of very many matches does not copy its list of spans for each.
     """
     between, found = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     joined = F.arrays_zip(between.alias("b"), found.alias("m"))
     joined = F.filter(joined, lambda x: x["m"].isNotNull())
 
+    return let(joined, lambda j: F.when(F.size(j) > 0, _placed(j)).otherwise(F.array().cast(f"array<{SPAN}>")))
+
+
+def _placed(joined: Column) -> Column:
+    def word(x: Column, i: Column) -> Column:
+        behind = F.concat(F.coalesce(F.get(joined, i - 1)["m"], F.lit("")), x["b"])
+        left = F.nullif(F.regexp_extract(F.substring(behind, -40, 40), r"(\S+)\s*$", 1), F.lit(""))
+        return F.struct(F.char_length(x["b"]).alias("gap"), F.char_length(x["m"]).alias("n"), x["m"].alias("m"), left.alias("left"))
+
+    def add(acc: Column, total: Column) -> Column:
+        return F.struct((acc["pos"] + total).alias("pos"), F.concat(acc["out"], F.array(acc["pos"])).alias("out"))
+
     def step(acc: Column, x: Column) -> Column:
-        start = acc["pos"] + F.char_length(x["b"])
-        end = start + F.char_length(x["m"])
-        left = F.nullif(F.regexp_extract(F.substring(x["b"], -40, 40), r"(\S+)\s*$", 1), F.lit(""))
-        one = F.struct(start.alias("s"), end.alias("e"), x["m"].alias("m"), left.alias("left"))
-        return F.struct(end.alias("pos"), F.concat(acc["out"], F.array(one)).alias("out"))
-
-    first = F.struct(F.lit(0).alias("pos"), F.array().cast(f"array<{SPAN}>").alias("out"))
-    return F.aggregate(joined, first, step, lambda acc: acc["out"])
+        start = acc["pos"] + x["gap"]
+        one = F.struct(start.alias("s"), (start + x["n"]).alias("e"), x["m"].alias("m"), x["left"].alias("left"))
+        return F.struct((start + x["n"]).alias("pos"), F.concat(acc["out"], F.array(one)).alias("out"))
+
+    def within(run: Column, first: Column) -> Column:
+        return F.aggregate(run, F.struct(first.alias("pos"), F.array().cast(f"array<{SPAN}>").alias("out")), step, lambda acc: acc["out"])
+
+    def spans(runs: Column) -> Column:
+        totals = F.transform(runs, lambda run: F.aggregate(run, F.lit(0), lambda n, x: n + x["gap"] + x["n"]))
+        firsts = F.aggregate(totals, F.struct(F.lit(0).alias("pos"), F.array().cast("array<int>").alias("out")), add, lambda acc: acc["out"])
+        return F.flatten(F.zip_with(runs, firsts, within))
+
+    runs = lambda w: F.transform(F.sequence(F.lit(0), F.floor((F.size(w) - 1) / RUN).cast("int")), lambda k: F.slice(w, k * RUN + 1, RUN))
+    return let(F.transform(joined, word), lambda w: let(runs(w), spans))
 
 
 def _digits(m: Column) -> Column:

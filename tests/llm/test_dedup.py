@@ -152,6 +152,28 @@ def test_embeddings_equal_brute_force(spark):
         assert all(r["kept"] == (r["vec_id"] == r["component_id"]) for r in out.collect())
 
 
+def test_embeddings_of_very_large_and_small_numbers(spark):
+    rows = [(1, [1.0, 2.0], 0), (2, [1e200, 2e200], 0), (3, [1e-200, 2e-200], 0), (4, [1e308, 1.7e308], 0), (5, [2e-200, -1e-200], 0), (6, [5e-324, 0.0], 0), (7, [9.0, 0.0], 0)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embeddings.link(df).collect()}
+    assert got == {1: (3, 1), 2: (3, 1), 3: (3, 1), 4: (3, 1), 5: (0, 5), 6: (1, 6), 7: (1, 6)}
+
+
+def test_recall_of_the_shipped_tables(spark):
+    """1,000 pairs at cosines just above the threshold, among others just below it: what the default settings find."""
+    rng, rows, want = np.random.default_rng(11), [], 0
+    for i in range(1200):
+        a = rng.standard_normal(32)
+        b = rng.standard_normal(32)
+        a, b = a / np.linalg.norm(a), b - b @ a / (a @ a) * a
+        c = rng.uniform(0.9801, 0.985) if i < 1000 else rng.uniform(0.97, 0.9799)
+        want += i < 1000
+        rows += [(2 * i, a.tolist(), 0), (2 * i + 1, (c * a + math.sqrt(1 - c * c) * b / np.linalg.norm(b)).tolist(), 0)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r["vec_id"]: r["n_links"] for r in embeddings.link(df).collect()}
+    assert sum(got[2 * i] for i in range(1000)) >= 0.999 * want and not sum(got[2 * i] for i in range(1000, 1200))
+
+
 def test_embeddings_of_equal_ids_and_none(spark):
     rows = [(1, [1.0, 0.0], 0), (1, [0.0, 1.0], 0), (2, [0.0, 1.0], 0)]
     assert sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in embeddings.link(vectors(spark, rows)).collect()) == [(1, 0, 1), (1, 1, 1), (2, 1, 1)]

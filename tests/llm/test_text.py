@@ -336,3 +336,14 @@ def test_real_documents(spark):
     out = {r["doc_id"]: r["base_sha256"] for r in pii.op10_pii(spark, SF).collect()}
     for r in spark.read.parquet(f"{SF}/documents.parquet").collect():
         assert out[r["doc_id"]] == hashlib.sha256(",".join(brute(r["text"])).encode()).hexdigest()
+
+
+def test_very_many_matches_in_a_text(spark, docs):
+    """Positions and the word before, which may be a match itself; 8,000 pairs take seconds, not minutes."""
+    text = " ".join(f"k{i} 12{i:05d}" for i in range(100, 8100))
+    row = pii.scan(docs([text, "mail a@b.co c@d.ee", "é1234 x12345"])).orderBy("id").collect()
+    want = [(m.start(), m.end(), m[0]) for m in re.finditer(r"\S+", text)]
+    assert [(x["s"], x["e"], x["m"]) for x in row[0]["tokens"]] == want[1:]
+    assert [x["left"] for x in row[0]["tokens"]] == [w[2] for w in want[:-1]]
+    assert [(x["s"], x["e"], x["left"]) for x in row[1]["email"]] == [(5, 11, "mail"), (12, 18, "a@b.co")]
+    assert [(x["s"], x["e"], x["left"]) for x in row[2]["tokens"]] == [(6, 12, "é1234")]
