@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import gc
 import os
 import uuid
@@ -71,6 +73,23 @@ def bound_batches(spark: SparkSession, rows: int = 2000, size: str = "8m") -> No
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
 
 
+def release() -> None:
+    """Give freed memory back to the system: a worker that waits for its next task keeps it otherwise, beside other stages' needs."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not the GNU C library
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def releasing(run):
+    """`run` over a task's batches, with memory given back behind the last one."""
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        release()
+
+    return whole
+
+
 def remainder(key: Column, modulus: int) -> Column:
     """crc32 of the key as text, modulo `modulus`."""
     return F.crc32(key.cast("string").cast("binary")) % F.lit(modulus)

@@ -255,7 +255,7 @@ def frequent(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray, float
             yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(n.astype(np.int64))], names=["h", "n"])
             yield pa.RecordBatch.from_arrays([pa.array([None, None], pa.int64()), pa.array([int(n.sum()), len(every) << 40], pa.int64())], names=["h", "n"])
 
-    counted = sample.select("text").mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    counted = sample.select("text").mapInArrow(common.releasing(run), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
     counted = common.materialise(counted.where("n >= 16 or h is null"), "jaccard-sample")
     both = (counted.where("h is null").first() or {"n": 0})["n"]
     rows, shingles = both >> 40, both & ((1 << 40) - 1)
@@ -341,6 +341,7 @@ def _counted(bits: int):
         some = df > 1
         pivot = (pivot[some] << np.uint64(bits)) | np.uint64(group["bucket"][0].as_py())
         m = int(some.sum())
+        common.release()
         out = {"id": pa.nulls(m, group.schema.field("id").type), **{c: pa.nulls(m, pa.int64()) for c in ("text_key", "n", "rest")}, "node": pa.array(nodes[owner[some]]), "frequent": pa.nulls(m, pa.list_(pa.int64())), "pivot": pa.array(pivot.view(np.int64)), "df": pa.array(df[some])}
         return pa.table(out)
 
@@ -364,7 +365,7 @@ def grouped(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int
     heavy = spark.sparkContext.broadcast((often >> np.uint64(shift), rank))
 
     schema = f"bucket int, id {kind}, text_key long, n long, rest long, node long, frequent array<bigint>, nodes binary, counts binary, low binary, lowest binary"
-    spread = given.mapInArrow(_place(width, percent, bits, shift, heavy), schema)
+    spread = given.mapInArrow(common.releasing(_place(width, percent, bits, shift, heavy)), schema)
     found = spread.groupBy("bucket").applyInArrow(_counted(bits), f"id {kind}, text_key long, n long, rest long, node long, frequent array<bigint>, pivot long, df int")
     found = common.materialise(found, "jaccard-counts")
     placed = found.where("pivot is null").select("id", "text_key", "n", "rest", "node", "frequent")
@@ -438,7 +439,7 @@ def _links(given: DataFrame, classes: DataFrame, clusters: DataFrame, width: int
                             out, held = {c: [] for c in out}, 0
                 yield _sets_batch(out)
 
-        placed = texts.mapInArrow(run, ", ".join(f"{c} long" for c in columns) + ", set binary")
+        placed = texts.mapInArrow(common.releasing(run), ", ".join(f"{c} long" for c in columns) + ", set binary")
         found = common.materialise(placed.groupBy("part").applyInArrow(what, schema), "jaccard-found")
         common.discard(spots)
         spent.append(found)

@@ -101,7 +101,7 @@ def fit(df: DataFrame, text: str = "text", lang: str = "lang", buckets: int = 1
                 "n": pa.array(np.concatenate([total[at], rows]).astype(np.int64)),
             })
 
-    counted = known.select("text", "lang").mapInArrow(count, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
+    counted = known.select("text", "lang").mapInArrow(common.releasing(count), "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
     languages = tuple(sorted(counted["lang"].unique()))
     place = {x: i for i, x in enumerate(languages)}
     prior, matrix = np.ones(len(languages)), np.full((buckets, len(languages)), smoothing)
@@ -147,7 +147,7 @@ def identify(df: DataFrame, model: LanguageModel, text: str = "text", prediction
             best, p = score_batch(m, *common.utf8(batch.column(kept.index(text))))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([names[i] for i in best], pa.string()), pa.array(p)], names=[*kept, prediction, score])
 
-    return df.select(*kept).mapInArrow(run, schema)
+    return df.select(*kept).mapInArrow(common.releasing(run), schema)
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -277,7 +277,7 @@ def count(texts: DataFrame, depth: int) -> DataFrame:
         codes, n, m = _sum_codes(joined("codes", np.uint64), joined("n", np.int64), joined("m", np.int64))
         return pa.table({"kind": pa.array(np.full(len(codes), group["kind"][0].as_py(), np.int32)), "code": codes.view(np.int64), "n": n, "m": m})
 
-    counted = texts.select("text", "learn", "ask").mapInArrow(run, "kind int, bucket int, codes binary, n binary, m binary")
+    counted = texts.select("text", "learn", "ask").mapInArrow(common.releasing(run), "kind int, bucket int, codes binary, n binary, m binary")
     return counted.groupBy("kind", "bucket").applyInArrow(summed, "kind int, code long, n long, m long")
 
 
@@ -426,7 +426,7 @@ def score(docs: DataFrame, training: DataFrame | Column, key: str = "doc_id", te
     names = ["id", "n_tokens", "n_known", "n_bytes", "base", "score", "rare", "grams"]
     kind = docs.select(F.col(key).alias("id")).dtypes[0][1]
     given = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
-    scored = given.mapInArrow(run, f"id {kind}, n_tokens long, n_known long, n_bytes long, base double, score double, rare array<bigint>, grams array<bigint>")
+    scored = given.mapInArrow(common.releasing(run), f"id {kind}, n_tokens long, n_known long, n_bytes long, base double, score double, rare array<bigint>, grams array<bigint>")
     result = [F.col("id").alias(key), "n_tokens", (F.col("n_known") + F.coalesce("more", F.lit(0))).alias("n_known"), F.lit(total).cast("long").alias("train_tokens")]
     if not (whole and grams_whole):
         scored = common.materialise(scored.withColumn("row", F.monotonically_increasing_id()), "lm-scores")
