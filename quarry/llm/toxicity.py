@@ -15,10 +15,12 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import cache, cached_property
+from itertools import accumulate
 
 import ahocorasick
 import numpy as np
@@ -95,7 +97,9 @@ class ToxicityModel:
                 elif weight > best.get(start, 0.0):
                     best[start] = weight
         if free:
-            best = {k: w for k, w in best.items() if not any(a <= k < b for a, b in free)}
+            starts = sorted(a for a, _ in free)
+            reach = list(accumulate((b for _, b in sorted(free)), max))
+            best = {k: w for k, w in best.items() if not (i := bisect_right(starts, k)) or reach[i - 1] <= k}
         total = sum(best.values())
         return float(np.log1p(total)), float(np.log1p(1000 * total / (10 + folded.count(" ")))), float(bool(best))
 
@@ -144,29 +148,29 @@ def _phrases(df: DataFrame, terms: frozenset[str]) -> DataFrame:
     return df.select("text", "label").mapInArrow(run, "phrase string, label long, n long").groupBy("phrase", "label").agg(F.sum("n").alias("n"))
 
 
-def choose(toxic: dict[str, int], clean: dict[str, int], n_toxic: int, n_clean: int, least: float, most: int) -> dict[str, float]:
+def choose(toxic: dict[str, int], clean: dict[str, int], n_toxic: int, n_clean: int, least: float) -> dict[str, float]:
     """Terms by smoothed log-odds; a longer term that a chosen beginning covers as well is left out."""
     odds = {t: float(np.log((n + 0.5) / (n_toxic + 1)) - np.log((clean.get(t, 0) + 0.5) / (n_clean + 1))) for t, n in toxic.items()}
     out: dict[str, float] = {}
     for term in sorted((t for t, w in odds.items() if w >= least), key=lambda t: (len(t), t)):
         if not any(out.get(term[:k], -1e9) >= odds[term] - 0.7 for k in range(len(term) - 1, 3, -1)):
             out[term] = odds[term]
-    return dict(sorted(out.items(), key=lambda x: (-x[1], x[0]))[:most])
+    return out
 
 
-def fit(df: DataFrame, min_documents: int = 5, least_odds: float = 2.5, max_terms: int = 20_000, seeds: tuple[str, ...] = SEEDS, exceptions: tuple[str, ...] = EXCEPTIONS) -> ToxicityModel:
+def fit(df: DataFrame, min_documents: int = 5, least_odds: float = 2.5, seeds: tuple[str, ...] = SEEDS, exceptions: tuple[str, ...] = EXCEPTIONS) -> ToxicityModel:
     """Learn from `text` and `label` of rows whose number the caller bounds.
 
-    The driver gets at most `max_terms` terms, and two numbers for each labelled row. A term counts only if it is in
-    `min_documents` toxic documents at least.
+    The driver gets the terms that are in `min_documents` toxic documents at least, the exception phrases, and four
+    numbers for each labelled row; all of them are bounded by the labelled rows, and none is cut.
     """
     rows = common.materialise(df.where(F.col("label").isin(0, 1)).select("text", "label"), "toxic")
     size = {int(r["label"]): r["count"] for r in rows.groupBy("label").count().collect()}
     n1, n0 = size.get(1, 0), size.get(0, 0)
-    frequent = _counts(rows.where("label = 1"), None).where(F.col("n") >= min_documents).orderBy(F.desc("n"), "term").limit(10 * max_terms)
+    frequent = _counts(rows.where("label = 1"), None).where(F.col("n") >= min_documents)
     toxic = {r["term"]: r["n"] for r in frequent.collect()}
     clean = {r["term"]: r["n"] for r in _counts(rows.where("label = 0"), frozenset(toxic)).collect()} if toxic else {}
-    weights = choose(toxic, clean, n1, n0, least_odds, max_terms)
+    weights = choose(toxic, clean, n1, n0, least_odds)
     for w in seeds:
         if not any(f" {w} "[: k + 1] in weights for k in range(4, len(w) + 2)):
             known = clean.get(f" {w} ", 0)
@@ -174,7 +178,7 @@ def fit(df: DataFrame, min_documents: int = 5, least_odds: float = 2.5, max_term
     learnt = ()
     if n0 and weights:
         counted = _phrases(rows, frozenset(weights)).groupBy("phrase").agg(F.coalesce(F.sum(F.expr("n * int(label = 0)")), F.lit(0)).alias("clean"), F.coalesce(F.sum(F.expr("n * int(label = 1)")), F.lit(0)).alias("toxic"))
-        learnt = tuple(r["phrase"] for r in counted.where("clean >= 3 and toxic = 0").orderBy(F.desc("clean"), "phrase").limit(max_terms).collect())
+        learnt = tuple(r["phrase"] for r in counted.where("clean >= 3 and toxic = 0").orderBy("phrase").collect())
     model = ToxicityModel(weights, tuple(dict.fromkeys([*exceptions, *learnt])))
     if not n1 or not n0:
         return model

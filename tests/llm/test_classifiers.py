@@ -75,6 +75,38 @@ def test_folding_and_exceptions():
     assert model.features("idiot")[1] > model.features("idiot " + "fine " * 500)[1]
 
 
+def test_matching_equals_brute_force():
+    rng = np.random.default_rng(5)
+    words = ["ab", "abc", "abcdef", "abcd", "dog", "trash", "can", "pond", "scum"]
+    model = toxicity.ToxicityModel({" abc ": 1.0, " abcd": 2.0, " abcdef ": 0.5, " scum ": 3.0, " trash": 1.5}, ("trash can", "pond scum", "scum dog", "can abc"))
+    for n in [0, 1, 2, 3, *rng.integers(4, 60, 200)]:
+        text = " ".join(rng.choice(words, n))
+        folded, best = toxicity.fold(text), {}
+        for term, weight in model.weights.items():
+            for i in range(len(folded)):
+                if folded.startswith(term, i):
+                    best[i] = max(weight, best.get(i, 0.0))
+        spans = [(i, i + len(e) + 1) for e in model.exceptions for i in range(len(folded)) if folded.startswith(f" {e} ", i)]
+        total = sum(w for i, w in best.items() if not any(a <= i < b for a, b in spans))
+        assert model.features(text)[0] == pytest.approx(np.log1p(total))
+
+
+def test_very_many_exceptions_take_linear_time():
+    model = toxicity.ToxicityModel({" scum ": 3.0}, ("pond scum",))
+    assert model.features("pond scum " * 100_000)[2] == 0.0 and model.features("pond scum " * 100_000 + "scum")[2] == 1.0
+
+
+def test_classifiers_on_empty_tables_and_clashing_names(spark, odd, docs, prose):
+    labelled = docs([prose(30) for _ in range(6)]).selectExpr("text", "cast(doc_id % 2 as int) label")
+    t, q = toxicity.fit(labelled, min_documents=1), quality.fit(labelled)
+    clash = odd.withColumn("Score", F.lit("clash")).withColumn("label", F.lit(None).cast("int"))
+    for run in (lambda df: toxicity.score_toxicity(df, t), lambda df: quality.classify(df, q)):
+        assert run(odd.limit(0)).count() == 0
+        out = run(clash)
+        assert [c.lower() for c in out.columns].count("score") == 1 and dict(out.dtypes)["score"] == "double"
+        assert out.count() == odd.count() and out.where("score is null or score < 0 or score > 1").count() == 0
+
+
 def test_learnt_terms_and_exceptions(spark):
     rows = [("a plain day with grumpf in it", 1)] * 30 + [("a plain day with a grumpf tree in it", 0)] * 5 + [("a plain day with rain in it", 0)] * 60
     model = toxicity.fit(spark.createDataFrame(rows, "text string, label int"), min_documents=3, least_odds=1.0)
