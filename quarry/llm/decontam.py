@@ -1,11 +1,12 @@
-"""Benchmark decontamination by seeds that no accepted overlap can avoid.
+"""Benchmark decontamination by spaced seeds that no accepted overlap can avoid.
 
 An item counts as contained if `length` words in a row (or the whole item, if shorter) agree with a stretch of the
-document to `share` at least. Of n such words k = n - ceil(share * n) may differ, and they part the n words into k + 1
-runs, of which one has floor(n / (k + 1)) words or more: that is the width of the item's seeds, and as a differing
-word spoils at most `width` of the n - width + 1 seeds, the others must all be met. Seed hashes of items and of
-documents are joined; each hit gives a diagonal (document position less item position), and diagonals with enough
-hits are compared word by word. So nothing that is accepted is missed. Only DataFrame functions are used.
+document to `share` at least. A seed hashes the words under a fixed mask, which ignores the positions between them. Of
+the n words k = n - ceil(share * n) may differ, and a differing word spoils at most as many seeds as the mask has
+words: of the n - span + 1 seeds at least n - span + 1 - weight * k are met. An item takes the heaviest mask for which
+that is positive; single words always do. Seed hashes of items and of documents are joined; each hit gives a
+diagonal (document position less item position), and diagonals with that many hits are compared word by word. So
+nothing that is accepted is missed. Only DataFrame functions are used.
 
 Words are runs of letters and digits in lower case. Null and empty texts have no words and never match. Repeated documents and items are reported each under
 its own id; rows with equal ids count as one. Among several diagonals the one with the most agreeing words is
@@ -23,28 +24,33 @@ from pyspark.sql import functions as F
 
 from quarry.llm import common
 
+#: Positions that count, by number of words. Those between them are ignored.
+MASKS = {1: (0,), 2: (0, 2), 3: (0, 1, 3), 4: (0, 1, 3, 5), 6: (0, 1, 3, 4, 7, 8)}
+
+
 def word_hashes(text: Column) -> Column:
     words = F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+")
     return F.transform(F.filter(words, lambda w: w != ""), lambda w: F.xxhash64(w))
 
 
-def _windows(words: Column, widths: list[int]) -> Column:
-    """For each width, the position (from 0) and hash of all runs of so many words."""
+def _windows(words: Column, weights: list[int]) -> Column:
+    """For each mask, the position (from 0) and hash of its words wherever it fits."""
 
-    def of(width: int) -> Column:
-        hashed = lambda i: F.struct(i.alias("pos"), F.lit(width).alias("width"), F.xxhash64(*[F.get(words, i + k) for k in range(width)], F.lit(width)).alias("seed"))
-        return F.when(F.size(words) >= width, F.transform(F.sequence(F.lit(0), F.size(words) - width), hashed)).otherwise(F.array().cast("array<struct<pos: int, width: int, seed: bigint>>"))
+    def of(weight: int) -> Column:
+        mask = MASKS[weight]
+        hashed = lambda i: F.struct(i.alias("pos"), F.lit(weight).alias("weight"), F.xxhash64(*[F.get(words, i + k) for k in mask], F.lit(weight)).alias("seed"))
+        return F.when(F.size(words) > mask[-1], F.transform(F.sequence(F.lit(0), F.size(words) - mask[-1] - 1), hashed)).otherwise(F.array().cast("array<struct<pos: int, weight: int, seed: bigint>>"))
 
-    return of(widths[0]) if len(widths) == 1 else F.concat(*map(of, widths))
+    return of(weights[0]) if len(weights) == 1 else F.concat(*map(of, weights))
 
 
-def seeds(df: DataFrame, key: str, words: str, widths: list[int], *others: str) -> DataFrame:
-    """(key, others, pos, width, seed) for all widths; the widths' hashes differ, so one join serves all.
+def seeds(df: DataFrame, key: str, words: str, weights: list[int], *others: str) -> DataFrame:
+    """(key, others, pos, weight, seed) for all masks; the masks' hashes differ, so one join serves all.
 
     The outer generator keeps the optimizer from adding a filter on the array's size below it, which would compute
     the words anew inside the windows' lambda.
     """
-    return df.select(key, *others, F.inline_outer(_windows(F.col(words), widths))).where(F.col("pos").isNotNull())
+    return df.select(key, *others, F.inline_outer(_windows(F.col(words), weights))).where(F.col("pos").isNotNull())
 
 
 def find(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text",
@@ -57,16 +63,15 @@ def find(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "te
     items = common.materialise(items.select("item_id", word_hashes(F.col("t")).alias("item_words")).where(F.size("item_words") > 0), "items")
     compared = F.least(F.lit(length), F.size("item_words"))
     differ = compared - F.ceil(F.lit(share) * compared).cast("int")
-    own = F.greatest(F.lit(1), F.floor(compared / (differ + 1)).cast("int"))
-    need = F.greatest(F.lit(1), compared - F.col("own") + 1 - differ * F.col("own"))
-    sized = items.withColumn("own", own).withColumn("need", need)
-    widths = sorted(r["own"] for r in sized.select("own").distinct().collect()) or [1]
-    wanted = seeds(sized, "item_id", "item_words", widths, "own", "need").where("width = own")
+    met = {w: compared - mask[-1] - w * differ for w, mask in MASKS.items()}
+    sized = items.select("*", F.array_max(F.array(*[F.when((n > 0) | F.lit(w == 1), F.struct(F.lit(w).alias("own"), F.greatest(F.lit(1), n).alias("need"))) for w, n in met.items()])).alias("x")).select("*", "x.own", "x.need")
+    weights = sorted(r["own"] for r in sized.select("own").distinct().collect()) or [1]
+    wanted = seeds(sized, "item_id", "item_words", weights, "own", "need").where("weight = own")
     wanted = common.materialise(wanted.select("item_id", F.col("pos").alias("item_pos"), "need", "seed"), "item-seeds")
     few = wanted.count() <= broadcast_seeds
     given = docs.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(F.col(key).alias("doc_id"), F.col(text).alias("t"))
     split = given.select("doc_id", word_hashes(F.col("t")).alias("words"))
-    hits = seeds(split, "doc_id", "words", widths).join(F.broadcast(wanted) if few else wanted, "seed")
+    hits = seeds(split, "doc_id", "words", weights).join(F.broadcast(wanted) if few else wanted, "seed")
     hits = hits.groupBy("doc_id", "item_id", (F.col("pos") - F.col("item_pos")).alias("diagonal")).agg(F.count("*").alias("n"), F.first("need").alias("need"))
     hits = hits.where("n >= need").select("doc_id", "item_id", "diagonal")
     hits = common.materialise(hits, "seed-hits")
