@@ -13,6 +13,8 @@ Jaccard distance (1 - share) is a metric; two documents link within `radius` = 1
      region of their own, with all that are at `1 - radius` or more from their nearest one in its window. Documents within the
      radius of a pivot are linked to it, and regions whose documents are all of one component need no further look.
      The regions are dealt out again by new pivots, `LEVELS` times; what is still large then is compared as pairs of blocks.
+     Among near copies of one text nearly all are in all windows. A region whose windows make more than they part
+     (`GAIN`, `COPIES`) is left as it was, with the links found, and compared as pairs of blocks at once.
   2. Within `block` shingles the same recursion runs in memory, down to exact intersections of the pairs that no
      window excludes. A pair of one component is not looked at again.
 
@@ -44,6 +46,8 @@ BROADCAST_SPOTS = 1_000_000
 SAMPLE_ROWS, MOST_FREQUENT = 4_000, 500_000
 #: Rounds by document pivots over the cluster, and the pivots of a region in each.
 LEVELS, PIVOTS = 3, 16
+#: A region is dealt out if its parts have at most this share of its pairs, and this many times its shingles, together.
+GAIN, COPIES = 0.5, 1.5
 #: Shingles counted in one task.
 BUCKET = 8_000_000
 
@@ -131,13 +135,11 @@ class Joined:
                 break
         d = np.array(rows)
         home, windows = voronoi(d, self.radius)
-        for j in range(-1, len(d)):
-            here = (home == j) | windows[j + 1]
-            if (home == j).any() and here.any():
-                if here.sum() < 0.8 * len(at):
-                    self.visit(at[here], depth + 1)
-                else:
-                    self.pairs(at[here], d[:, here])
+        parts = [(home == j) | windows[j + 1] for j in range(-1, len(d)) if (home == j).any()]
+        if sum(int(here.sum()) ** 2 for here in parts) > GAIN * len(at) ** 2:
+            return self.pairs(at, d)
+        for here in parts:
+            self.visit(at[here], depth + 1)
 
     def pairs(self, at: np.ndarray, d: np.ndarray) -> None:
         """Compares all pairs that sizes and distances to pivots (a row for each) leave."""
@@ -450,6 +452,9 @@ def _links(given: DataFrame, classes: DataFrame, clusters: DataFrame, width: int
         groups = F.lit(max(1, total // block))
         return compared(rows.withColumn("part", F.pmod(F.xxhash64("region"), groups)).withColumn("slot", F.lit(-1).cast("long")).select(*columns), _joined(percent), "a long, b long")
 
+    def in_pairs(rows: DataFrame) -> DataFrame:
+        return compared(_pairs(rows, block).select(*columns), _joined(percent), "a long, b long")
+
     members = clusters.select("node", "region", F.col("node").alias("component"))
     for level in range(LEVELS + 1):
         members = common.materialise(members.join(size, "node"), "jaccard-members")
@@ -465,7 +470,7 @@ def _links(given: DataFrame, classes: DataFrame, clusters: DataFrame, width: int
             break
         rest = members.join(large, "region")
         if level == LEVELS:
-            edges = edges.unionByName(compared(_pairs(rest, block).select(*columns), _joined(percent), "a long, b long"))
+            edges = edges.unionByName(in_pairs(rest))
             break
         slot = F.pmod(F.xxhash64("node", F.lit(level)), F.lit(PIVOTS))
         pivots = rest.groupBy("region", "parts", slot.alias("slot")).agg(F.min_by("node", F.xxhash64("node", F.lit(-1 - level))).alias("node"))
@@ -474,9 +479,19 @@ def _links(given: DataFrame, classes: DataFrame, clusters: DataFrame, width: int
         both = dealt.unionByName(pivots, allowMissingColumns=True).withColumn("part", F.xxhash64("region", "p"))
         found = compared(both.select(*columns), _dealt(percent), "a long, b long, region long, slot long, node long")
         edges = edges.unionByName(found.where("slot = -2").select("a", "b"))
-        label = components(edges, "jaccard-components")
-        fresh = found.where("slot > -2").select("node", F.xxhash64("region", "slot", F.lit(level)).alias("region")).distinct()
-        members = fresh.join(label, "node", "left").select("node", "region", F.coalesce("component", "node").alias("component"))
+        label = common.materialise(components(edges, "jaccard-components"), "jaccard-linked")
+        spent.append(label)
+        own = F.coalesce("component", "node").alias("component")
+        fresh = found.where("slot > -2").select("node", "region", F.xxhash64("region", "slot", F.lit(level)).alias("part")).distinct().join(label, "node", "left").select("node", "region", "part", own)
+        parts = fresh.join(size, "node").groupBy("region", "part").agg(F.sum("n").alias("k"), F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
+        worth = parts.groupBy("region").agg(F.sum("k").alias("k"), F.sum(F.pow("k", F.lit(2))).alias("pairs")).join(large, "region")
+        pays = (F.col("k") <= COPIES * F.col("total")) & (F.col("pairs") <= GAIN * F.pow("total", F.lit(2)))
+        worth = common.materialise(worth.select("region", pays.alias("pays")), "jaccard-dealt")
+        spent.append(worth)
+        if worth.where("not pays").limit(1).count():
+            kept = rest.select("node", "region", "n").join(worth.where("not pays").select("region"), "region").join(label, "node", "left").select("node", "region", "n", own)
+            edges = edges.unionByName(in_pairs(kept))
+        members = fresh.join(worth.where("pays").select("region"), "region").select("node", F.col("part").alias("region"), "component")
     return edges
 
 

@@ -72,6 +72,36 @@ def test_jaccard_equals_brute_force(spark, docs, prose):
         assert [r["n_shingles"] for r in out] == sizes
 
 
+def near_copies(prose, n):
+    """Copies of one text of which many differ in 0 to 9 % of their words: few of all pairs link, and one component is large."""
+    rng = random.Random(11)
+    base = prose(240).split()
+    out = []
+    for _ in range(n):
+        share = rng.choice([0.01, 0.02, 0.03, 0.05, 0.07, 0.09])
+        out.append(" ".join(w + str(rng.randrange(3)) if rng.random() < share else w for w in base))
+    return out
+
+
+def test_jaccard_windows_do_not_multiply_near_copies(spark, docs, prose, monkeypatch):
+    """Among near copies of one text nearly all are in all windows: they are not sent once for each, round after round."""
+    texts = near_copies(prose, 160)
+    sent, write = [], jaccard.common.materialise
+
+    def seen(df, label="step"):
+        out = write(df, label)
+        if label == "jaccard-spots":
+            sent.append(out.agg(F.coalesce(F.sum(F.size("at")), F.lit(0))).first()[0])
+        return out
+
+    monkeypatch.setattr(jaccard.common, "materialise", seen)
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.join(docs(texts), block=12_000).collect()}
+    want, _ = brute_jaccard(list(range(len(texts))), texts)
+    assert got == want
+    assert 20 < len(set(want.values())) < 140
+    assert sum(sent) < 12 * len(texts)
+
+
 def test_jaccard_threshold_is_exact(spark, docs):
     texts, want = [], []
     for cut in (12, 13, 14, 15):  # of 96 runs of words, 96 - cut are shared
