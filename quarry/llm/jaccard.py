@@ -16,7 +16,8 @@ Jaccard distance (1 - share) is a metric; two documents link within `radius` = 1
      Among near copies of one text nearly all are in all windows. A region whose windows make more than they part
      (`GAIN`, `COPIES`) is left as it was, with the links found, and compared as pairs of blocks at once.
   2. Within `block` shingles the same recursion runs in memory, down to exact intersections of the pairs that no
-     window excludes. A pair of one component is not looked at again.
+     window excludes. A pair of one component is not looked at again, nor one of documents that have too few shingles
+     in common with all others there together.
 
 A large region is dealt over as many tasks as it has blocks, each with the region's pivots. Frequent shingles, found on a
 bounded sample, are kept out of the count's shuffle and stand last in the order of pivots; any order is exact.
@@ -91,6 +92,10 @@ class Joined:
         self.start = np.concatenate([[0], np.cumsum(self.size)])
         unique, self.column = np.unique(_flat(members), return_inverse=True)
         self.mark = np.zeros(len(unique), bool)
+        several = np.bincount(self.column, minlength=len(unique)) > 1
+        held = np.concatenate([[0], np.cumsum(several[self.column])])
+        #: a document's shingles that others here have
+        self.held = held[self.start[1:]] - held[self.start[:-1]]
         self.label = np.unique(label, return_inverse=True)[1]
 
     def shared(self, x: int, among: np.ndarray) -> np.ndarray:
@@ -148,6 +153,7 @@ class Joined:
             ok = self.label[at[rest]] != self.label[x]
             low, high = np.minimum(self.size[at[rest]], self.size[x]), np.maximum(self.size[at[rest]], self.size[x])
             ok &= 100 * low >= self.percent * high
+            ok &= (100 + self.percent) * np.minimum(self.held[at[rest]], self.held[x]) >= self.percent * (low + high)
             if len(d) and ok.any():
                 ok &= (np.abs(d[:, rest] - d[:, i : i + 1]) <= self.radius + 1e-9).all(0)
             self.measure(x, at[rest][ok])

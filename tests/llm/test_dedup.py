@@ -102,6 +102,18 @@ def test_jaccard_windows_do_not_multiply_near_copies(spark, docs, prose, monkeyp
     assert sum(sent) < 12 * len(texts)
 
 
+def test_jaccard_in_memory_leaves_out_what_is_mostly_alone(prose, monkeypatch):
+    """Copies of equal length with a fifth of shingles that no other has can't link: only pivots are compared."""
+    base = prose(240).split()
+    members = [*jaccard.sets(*jaccard.common.utf8(pa.array([" ".join(f"x{i}y{k}" if k % 24 == 12 else w for k, w in enumerate(base)) for i in range(160)])), 5)]
+    compared, measure = [], jaccard.Joined.measure
+    monkeypatch.setattr(jaccard.Joined, "measure", lambda self, x, among: compared.append(len(among)) or measure(self, x, among))
+    found = jaccard.Joined(members, np.arange(len(members)), 75)
+    found.visit(np.arange(len(members)))
+    assert len(set(found.label.tolist())) == len(members)
+    assert sum(compared) <= 8 * len(members)
+
+
 def test_jaccard_threshold_is_exact(spark, docs):
     texts, want = [], []
     for cut in (12, 13, 14, 15):  # of 96 runs of words, 96 - cut are shared
