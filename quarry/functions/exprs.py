@@ -2,51 +2,31 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-UNKNOWN_MONTH = "__unknown__"
+from quarry.functions import strptime
 
-#: strptime directive -> Java pattern letter. One letter accepts values with and without leading zeros.
-DIRECTIVES = {"Y": "y", "m": "M", "d": "d", "H": "H", "M": "m", "S": "s", "y": "yy", "j": "D", "f": "SSSSSS", "p": "a", "I": "h", "b": "MMM", "B": "MMMM", "%": "%"}
+UNKNOWN_MONTH = "__unknown__"
 
 LAYOUT_TYPES = {"string": "string", "integer": "bigint", "decimal": "double", "date": "date", "datetime": "timestamp_ntz"}
 
 NUMERIC = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
 
-def java_pattern(strptime: str) -> str:
-    """The Java date pattern of a strptime format; an unknown directive is an error when the layout is loaded."""
-    out, literal = [], ""
-    for part in re.findall(r"%.|[^%]+|%", strptime):
-        if len(part) == 2 and part[0] == "%":
-            if part[1] not in DIRECTIVES:
-                raise ValueError(f"date format {strptime!r}: directive {part} is not supported")
-            out.append(f"'{literal}'" if literal else "")
-            literal = ""
-            out.append(DIRECTIVES[part[1]])
-        elif part == "%":
-            raise ValueError(f"date format {strptime!r} ends in %")
-        else:
-            for c in part:
-                if c.isalpha() or c in "[]{}#":
-                    literal += c
-                else:
-                    out.append((f"'{literal}'" if literal else "") + ("''" if c == "'" else c))
-                    literal = ""
-    out.append(f"'{literal}'" if literal else "")
-    return "".join(out)
-
-
 def clean(raw: Column) -> Column:
     """Trimmed text; blank is null."""
     return F.nullif(F.trim(raw.cast("string")), F.lit(""))
 
 
+def _bare(text: Column) -> Column:
+    """Without white space of any kind around it, which casts to numbers skip."""
+    return F.btrim(text, F.lit(" \t\n\x0b\f\r"))
+
+
 def to_bigint(text: Column) -> Column:
     """Whole number, rounding half away from zero where the text has a fraction or an exponent."""
+    text = _bare(text)
     numeric = text.rlike(NUMERIC)
     exact = F.when(text.rlike(r"^[+-]?\d+$"), text.try_cast("bigint"))
     rounded = F.when(numeric, F.round(text.try_cast("double").try_cast("decimal(38,10)")).try_cast("bigint"))
@@ -56,12 +36,13 @@ def to_bigint(text: Column) -> Column:
 
 def to_double(text: Column) -> Column:
     """Floating point; suffixes such as `5d` are invalid."""
+    text = _bare(text)
     return F.when(text.rlike(NUMERIC) | F.lower(text).rlike(r"^[+-]?(nan|inf|infinity)$"), text.try_cast("double"))
 
 
 def to_timestamp(text: Column, formats: list[str] | tuple[str, ...] = ()) -> Column:
     """First format that fits, then ISO text with a full date; wall-clock time, offsets are not applied."""
-    tries = [F.try_to_timestamp(text, F.lit(java_pattern(f))).cast("timestamp_ntz") for f in formats]
+    tries = [strptime.parse(text, f) for f in formats]
     iso = F.when(text.rlike(r"^\d{4,}-\d{1,2}-\d{1,2}"), text.try_cast("timestamp_ntz"))
     return F.coalesce(*tries, iso)
 

@@ -10,6 +10,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from quarry.functions import re2
 from quarry.functions.exprs import to_double
 from quarry.sources.files import ObjectStore
 
@@ -34,6 +35,10 @@ class Rule:
     sql: str | None = None
     enabled: bool = True
 
+    def __post_init__(self) -> None:
+        if self.kind == "REGEX" and "pattern" in self.params:
+            re2.translate(self.params["pattern"])  # a pattern that can't be had is an error here, not in a job
+
     def override(self, severity: str | None = None, threshold_type: str | None = None, threshold: float | None = None, params: dict | str | None = None, enabled: bool = True) -> Rule:
         """The rule as a rule set binds it: given values win, parameters are merged one level deep."""
         params = json.loads(params) if isinstance(params, str) else params
@@ -62,15 +67,6 @@ def guard(sql: str) -> str:
     return bare
 
 
-def check_pattern(pattern: str) -> str:
-    """Patterns keep to what RE2 has as well: no look-around and no back-references."""
-    outside = re.sub(r"\[\^?\]?(?:\\.|[^\]\\])*\]", "[]", re.sub(r"\\[^1-9]", "", pattern))  # a class may hold any sign
-    if re.search(r"\(\?<?[=!]|\\[1-9]|\(\?>|[*+?}]\+", outside):
-        raise ValueError(f"pattern {pattern!r}: look-around, back-references and possessive repeats are not portable")
-    re.compile(pattern)
-    return pattern
-
-
 def predicate(rule: Rule) -> Column | None:
     """Whether a row violates the rule; None for rules that no single row decides. Null values violate NOT_NULL only."""
     p = rule.params
@@ -85,7 +81,7 @@ def predicate(rule: Rule) -> Column | None:
     if rule.kind == "ALLOWED_VALUES":
         return c.isNotNull() & ~c.cast("string").isin([str(v) for v in p["values"]])
     if rule.kind == "REGEX":
-        return c.isNotNull() & ~c.cast("string").rlike(check_pattern(p["pattern"]))
+        return c.isNotNull() & ~c.cast("string").rlike(re2.translate(p["pattern"]))
     if rule.kind in ("UNIQUE_KEY", "CUSTOM_SQL"):
         return None
     raise ValueError(f"rule kind {rule.kind} is unknown")

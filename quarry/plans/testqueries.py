@@ -7,12 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.functions import exprs
+from quarry.functions import exprs, strptime
 from quarry.operators import canonical, intake, rules, winners
 from quarry.operators.latest import latest_per_key
 from quarry.operators.parse import metrics, type_columns
 from quarry.plans import dashboards, serving, standins
-from quarry.sources.layouts import CanonicalColumn, CanonicalSchema, Layout, LayoutColumn
+from quarry.sources.files import scan_csv
+from quarry.sources.layouts import CORRUPT, CanonicalColumn, CanonicalSchema, Layout, LayoutColumn
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -106,6 +107,17 @@ _one("lineitem", rules.Rule("g", "g", "RANGE", "SOFT", "RATE", 0.5, {"column": "
 _one("customer", rules.Rule("a", "a", "ALLOWED_VALUES", "SOFT", "RATE", 0.5, {"column": "c_mktsegment", "values": ["BUILDING", "MACHINERY"]}), "c_mktsegment NOT IN ('BUILDING', 'MACHINERY')", "rule_allowed_values")
 _one("part", rules.Rule("x", "x", "REGEX", "HARD", "COUNT", 5, {"column": "p_brand", "pattern": "[13]$"}), "NOT regexp_matches(p_brand, '[13]$')", "rule_regex")
 
+#: Patterns that mean something else, or nothing, to Java.
+_DIALECT = (r"^[[:digit:]]+$", r"^(click|view)$", r"(?P<k>e.)v", r"(?s)e.v", r"(?m)^view$", r"[[:^alpha:]{]", r"\Q{\E", r"(?U)\d+?\z", r"^\pL+\pN*$", r"[^\W\d]\b", r"(?i)V[[:alpha:]&&e]", r"\x7b|\.$")
+_DIALECT_TEXT = "CASE event_id % 4 WHEN 0 THEN event_type WHEN 1 THEN event_type || chr(10) WHEN 2 THEN event_type || chr(10) || props ELSE CAST(user_id AS {text}) END"
+
+
+@query(" UNION ALL ".join(f"SELECT 'p{i}' AS rule_id, count(*) FILTER (WHERE NOT regexp_matches(t, '{p}')) AS violations_count FROM (SELECT {_DIALECT_TEXT.format(text='VARCHAR')} AS t FROM events)" for i, p in enumerate(_DIALECT)))
+def rule_regex_dialect(spark, sf_dir):
+    events = read(spark, sf_dir, "events").select(F.expr(_DIALECT_TEXT.format(text="STRING")).alias("t"))
+    return rules.evaluate(events, [rules.Rule(f"p{i}", f"p{i}", "REGEX", params={"column": "t", "pattern": p}) for i, p in enumerate(_DIALECT)]).select("rule_id", "violations_count")
+
+
 _UNIQUE = rules.Rule("u", "u", "UNIQUE_KEY", "HARD", "COUNT", 0, {"columns": ["l_orderkey", "l_linenumber"]})
 _DUP = "(SELECT l_orderkey AS k1, l_linenumber AS k2 FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1)"
 
@@ -343,6 +355,41 @@ def partition_roundtrip(spark, sf_dir):
     return spark.read.parquet(path).where("atomic_month IN ('1996-03', '1996-04')").groupBy("atomic_month").agg(F.count("*").alias("n"))
 
 
+#: Formats, and expressions that both engines have for texts in them; months 13 and 14 and short days occur.
+_Y, _M, _D = "CAST(year(o_orderdate) AS {t})", "lpad(CAST(month(o_orderdate) + o_orderkey % 3 AS {t}), 2, '0')", "lpad(CAST(day(o_orderdate) AS {t}), 2, '0')"
+_DAY = "CAST(day(o_orderdate) AS {t})"
+_NAME = "substr('JanFebMarAprMayJunJulAugSepOctNovDec', month(o_orderdate) * 3 - 2, 3)"
+_STRPTIME = {
+    "%Y%m%d": f"{_Y} || {_M} || {_D}", "%Y%m%d%H%M%S": f"{_Y} || {_M} || {_D} || '2359' || lpad(CAST(o_orderkey % 62 AS {{t}}), 2, '0')", "%Y%j": f"{_Y} || lpad(CAST(1 + o_orderkey % 366 AS {{t}}), 3, '0')", "%Y%m": f"{_Y} || {_M}",
+    "%m/%d/%y": f"{_M} || '/' || {_DAY} || '/' || lpad(CAST(o_orderkey % 100 AS {{t}}), 2, '0')", "%d-%b-%Y": f"{_DAY} || '-' || {_NAME} || '-' || {_Y}", "%Y-%m-%d %I:%M %p": f"{_Y} || '-' || {_M} || '-' || {_DAY} || ' ' || CAST(o_orderkey % 14 AS {{t}}) || ':05 ' || CASE WHEN o_orderkey % 2 = 0 THEN 'am' ELSE 'PM' END",
+    "%H:%M:%S.%f": "'1:2:3.' || CAST(o_orderkey AS {t})",
+}
+
+
+@query(" UNION ALL ".join(f"SELECT '{f}' AS format, o_orderkey, CAST(try_strptime({x.format(t='VARCHAR')}, '{f}') AS TIMESTAMP) AS at FROM orders" for f, x in _STRPTIME.items()))
+def strptime_formats(spark, sf_dir):
+    """Dates of eight formats, from one scan."""
+    orders = read(spark, sf_dir, "orders")
+    each = F.array(*(F.struct(F.lit(f).alias("format"), strptime.parse(F.expr(x.format(t="STRING")), f).alias("at")) for f, x in _STRPTIME.items()))
+    return orders.select("o_orderkey", F.inline(each))
+
+
+_NOTE = "CASE WHEN event_id % 3 = 0 THEN event_type || chr(10) || props || ',' || chr(10) WHEN event_id % 3 = 1 THEN '\"' || event_type ELSE event_type END"
+NOTES = Layout("notes/v1", "notes", "v1", (LayoutColumn("EVENT", "integer", True), LayoutColumn("NOTE", "string"), LayoutColumn("VALUE", "decimal")))
+
+
+@query(f"SELECT event_id AS \"EVENT\", {_NOTE} AS \"NOTE\", value AS \"VALUE\" FROM events")
+def csv_multiline(spark, sf_dir):
+    """Written as CSV with line feeds, quotes and delimiters in fields, and read in splits."""
+    import uuid
+
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    path = f"{root.rstrip('/')}/notes-{uuid.uuid4().hex}"
+    events = read(spark, sf_dir, "events").select(F.col("event_id").alias("EVENT"), F.expr(_NOTE).alias("NOTE"), F.col("value").alias("VALUE"))
+    events.write.options(header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
+    return type_columns(scan_csv(spark, [path], NOTES), NOTES).where(F.col(CORRUPT).isNull() & ~F.col("_row_rejected")).select("EVENT", "NOTE", "VALUE")
+
+
 # ---- serving views and dashboards -------------------------------------------------------------------------------
 
 _SEV = "sev AS (SELECT f.*, r.submission_id, r.rule_set_id, r.started_at AS validation_started_at, r.ended_at AS validation_ended_at, r.status AS validation_run_status, r.outcome AS validation_outcome, k.name AS rule_name, k.rule_kind, coalesce(b.severity_override, k.default_severity) AS severity, coalesce(b.threshold_type_override, k.default_threshold_type) AS threshold_type, coalesce(b.threshold_value_override, k.default_threshold_value) AS threshold_value FROM validation_finding f JOIN validation_run r USING (validation_run_id) JOIN validation_rule k USING (rule_id) LEFT JOIN validation_rule_set_rule b ON b.rule_set_id = r.rule_set_id AND b.rule_id = f.rule_id)"

@@ -3,41 +3,63 @@
 from __future__ import annotations
 
 import csv
-from concurrent.futures import ThreadPoolExecutor
+import io
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.sources import records
 from quarry.sources.layouts import CORRUPT, Layout
 
 
-def read_header(spark: SparkSession, path: str, layout: Layout) -> list[str]:
-    """Column names of a file's first line."""
-    first = spark.read.text(path, wholetext=False).limit(1).collect()
-    return [v.strip() for v in next(csv.reader([first[0][0]], delimiter=layout.delimiter), [])] if first else []
+def first_lines(spark: SparkSession, paths: list[str], delimiter: str = ",") -> DataFrame:
+    """(file, first, opens) of every file with a line: the first one that isn't blank, and whether some line ends inside quotes.
+
+    One job for all files, over their text; nothing is shuffled but a row for each file and task.
+    """
+    lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+    place = F.when(F.trim("value") != "", F.struct("block", F.monotonically_increasing_id().alias("at")))
+    lines = lines.select("value", "file", place.alias("place"), records.opens(F.col("value"), delimiter).alias("open"))
+    return lines.groupBy("file").agg(F.min_by("value", "place").alias("first"), F.max("open").alias("opens"))
+
+
+def _names(spark: SparkSession, file: str, first: str, layout: Layout) -> list[str]:
+    """Column names of a file, from its first record, which may go on behind the first line."""
+    if first.count('"') % 2:
+        text = "\n".join(r["value"] for r in spark.read.option("lineSep", "\n").text(file).limit(1000).collect())
+        return [v.strip() for v in next((r for r in csv.reader(io.StringIO(text), delimiter=layout.delimiter) if r), [])]
+    return [v.strip() for v in next(csv.reader([first], delimiter=layout.delimiter), [])]
 
 
-def scan_csv(spark: SparkSession, paths: list[str], layout: Layout, ragged: bool = False) -> DataFrame:
+def scan_csv(spark: SparkSession, paths: list[str], layout: Layout) -> DataFrame:
     """The layout's columns as text, `_corrupt` for rows of another shape, and `_source_file`.
 
     Files may have headers of their own: columns are matched by name whatever the case, those a file lacks are null and
-    those the layout lacks are dropped. Files with equal headers are one scan. Compressed files are read as they are.
+    those the layout lacks are dropped. Files with equal headers are one scan. Quoted fields may hold line feeds:
+    files in which some line ends inside quotes are cut into records first, others are read by lines. Compressed files
+    are read as they are. An empty file has no rows.
     """
-    groups: dict[tuple[str, ...], list[str]] = {}
-    with ThreadPoolExecutor(16) as pool:  # a small job for each file, many at a time
-        headers = [*pool.map(lambda p: read_header(spark, p, layout) if layout.header else [c.name for c in layout.columns], paths)]
-    for path, names in zip(paths, headers, strict=True):
-        groups.setdefault(tuple(names), []).append(path)
+    groups: dict[tuple[tuple[str, ...], bool], list[str]] = {}
+    for r in first_lines(spark, paths, layout.delimiter).collect() if paths else []:  # a row a file
+        file = unquote(r["file"])
+        if r["first"] is not None:
+            names = _names(spark, file, r["first"], layout) if layout.header else [c.name for c in layout.columns]
+            groups.setdefault((tuple(names), bool(r["opens"])), []).append(file)
     out = None
-    for names, files in groups.items():
+    for (names, spans), files in sorted(groups.items()):
         schema = ", ".join(f"`c{i}` string" for i in range(len(names))) + (", " if names else "") + f"`{CORRUPT}` string"
-        reader = spark.read.schema(schema).option("header", layout.header).option("sep", layout.delimiter).option("enforceSchema", "true")
-        df = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).option("quote", '"').option("escape", '"').csv(files)
+        options = {"sep": layout.delimiter, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "quote": '"', "escape": '"'}
+        if spans:
+            df = records.read_records(spark, files, layout.delimiter, layout.header)
+            df = df.select(F.from_csv("value", F.lit(schema), options).alias("r"), "_source_file").select("r.*", "_source_file")
+        else:
+            df = spark.read.schema(schema).options(header=layout.header, enforceSchema="true", **options).csv(files).withColumn("_source_file", F.col("_metadata.file_path"))
         at = {}
         for i, n in enumerate(names):
             at.setdefault(n.lower(), i)
         columns = [(F.col(f"c{at[c.name.lower()]}") if c.name.lower() in at else F.lit(None).cast("string")).alias(c.name) for c in layout.columns]
-        df = df.select(*columns, F.col(CORRUPT), F.col("_metadata.file_path").alias("_source_file"))
+        df = df.select(*columns, F.col(CORRUPT), "_source_file")
         out = df if out is None else out.unionByName(df)
     if out is None:
         out = spark.createDataFrame([], f"{', '.join(f'`{c.name}` string' for c in layout.columns)}, `{CORRUPT}` string, _source_file string")

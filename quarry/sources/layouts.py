@@ -8,7 +8,8 @@ from pathlib import Path
 
 from pyspark.sql import types as T
 
-from quarry.functions.exprs import LAYOUT_TYPES, java_pattern
+from quarry.functions.exprs import LAYOUT_TYPES
+from quarry.functions.strptime import compile_format
 
 CORRUPT = "_corrupt"
 
@@ -36,7 +37,7 @@ class Layout:
 
     def __post_init__(self) -> None:
         for f in self.date_formats:
-            java_pattern(f)
+            compile_format(f)
         names = [c.name.lower() for c in self.columns]
         if len(set(names)) != len(names):
             raise ValueError(f"{self.layout_id}: column names differ in case only")

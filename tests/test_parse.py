@@ -2,6 +2,7 @@ import gzip
 import json
 from datetime import datetime
 
+import duckdb
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions import exprs
 from quarry.operators.parse import parse_to_silver
+from quarry.sources import records
 from quarry.sources.files import ObjectStore, discover_months, scan_csv, scan_months
 from quarry.sources.layouts import Layout, LayoutColumn, layout_from, load_layouts
 
@@ -77,6 +79,75 @@ def test_empty_file_list_and_empty_file(spark, tmp_path):
     assert scan_csv(spark, [], MEDICAL).count() == 0
 
 
+def test_file_without_a_byte(spark, tmp_path):
+    r, _ = parse(spark, tmp_path, "", "Id,START,PATIENT\na,2025-01-01,p\n")
+    assert (r.rows_read, r.rows_malformed, len(r.files)) == (1, 0, 1)
+
+
+THREE = Layout("L3", "notes", "v1", (LayoutColumn("A"), LayoutColumn("B"), LayoutColumn("C")))
+
+
+def some_csv(rng, n):
+    """Rows, and their text with quotes, delimiters and line feeds in fields, and quotes that mean nothing."""
+
+    def one():
+        return rng.choice(["", "x y", "line\nfeed", 'q"uote', "a,b", "\n\n" + "z" * rng.randrange(30), '",\n"', "w" * rng.randrange(1, 12)])
+
+    def written(v):
+        if any(c in v for c in '",\n') or rng.random() < 0.2:
+            return '"' + v.replace('"', '""') + '"'
+        return v
+
+    rows = [[one() for _ in range(3)] for _ in range(n)]
+    rows += [['5" pipe', 'b"', "c"], ["end", "\n", ""]]
+    text = "A,B,C\n" + "".join(",".join(v if '" ' in v or v == 'b"' else written(v) for v in r) + "\n" for r in rows)
+    return rows, text
+
+
+@pytest.mark.parametrize("split", [16, 64, 1 << 20])
+@pytest.mark.parametrize("feed", ["\n", "\r\n"])
+def test_line_feeds_in_quotes(spark, tmp_path, split, feed):
+    """Records equal DuckDB's wherever the file is split, at feeds and between the two quotes of a pair too."""
+    import random
+
+    rows, text = some_csv(random.Random(split), 25)
+    path = tmp_path / "with space.csv"
+    path.write_text(text.replace("\n", feed), newline="")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        spark.conf.set("spark.sql.files.openCostInBytes", 1)
+        got = scan_csv(spark, [str(path)], THREE).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    columns = "{'A': 'VARCHAR', 'B': 'VARCHAR', 'C': 'VARCHAR'}"
+    want = duckdb.sql(f"SELECT * FROM read_csv('{path}', delim=',', header=true, quote='\"', escape='\"', auto_detect=false, columns={columns}, ignore_errors=true, strict_mode=false)").fetchall()
+    text_of = lambda r: tuple(v or "" for v in r)
+    assert sorted(text_of((r["A"], r["B"], r["C"])) for r in got) == sorted(map(text_of, want)) == sorted(tuple(v.replace("\n", feed) for v in r) for r in rows)
+    assert all(r["_corrupt"] is None for r in got) and len({r["_source_file"] for r in got}) == 1
+
+
+def test_malformed_and_blank_beside_line_feeds(spark, tmp_path):
+    r, df = parse(spark, tmp_path, 'Id,START,STOP,PATIENT,CODE\n\na,2025-01-01,,"p\nq",1\nb,2025-01-01\n \nc,2025-01-01,,p,1,"ex\ntra"\n', "Id,START,PATIENT\nd,2025-02-01,p\n")
+    assert (r.rows_read, r.rows_written, r.rows_malformed) == (2, 2, 2)
+    assert {x["PATIENT"] for x in df.collect()} == {"p\nq", "p"}
+
+
+def test_header_over_two_lines(spark, tmp_path):
+    (tmp_path / "h.csv").write_text('"A\nlong",B\n1,"x\ny"\n')
+    layout = Layout("L4", "notes", "v1", (LayoutColumn("A\nlong"), LayoutColumn("B")))
+    assert [tuple(r)[:2] for r in scan_csv(spark, [str(tmp_path / "h.csv")], layout).collect()] == [("1", "x\ny")]
+
+
+def test_unclosed_quote(spark, tmp_path):
+    (tmp_path / "u.csv").write_text('A,B,C\n1,2,"open\n' + "x\n" * 50)
+    got = scan_csv(spark, [str(tmp_path / "u.csv")], THREE).collect()
+    assert len(got) == 1 and got[0]["A"] == "1"
+    with pytest.raises(Exception, match="a quote isn't closed"):
+        records.read_records(spark, [str(tmp_path / "u.csv")], ",", True, most=50).collect()
+
+
 def test_months(spark, tmp_path):
     _, df = parse(spark, tmp_path, "Id,START,PATIENT\na,2025-01-01,p\nb,2025-02-01,p\n")
     assert discover_months(df) == ["2025-01", "2025-02"] and discover_months(df.drop("atomic_month")) == ["__all__"]
@@ -86,7 +157,7 @@ def test_months(spark, tmp_path):
 
 @pytest.mark.parametrize(
     ("text", "kind", "value"),
-    [("12.7", "integer", 13), ("-2.5", "integer", -3), ("1e3", "integer", 1000), ("5d", "decimal", None), ("1_000", "decimal", None), (" 7 ", "integer", 7), ("", "integer", None), ("x", "string", "x"), ("  ", "string", None), ("99999999999999999999", "integer", None), ("2025-01", "date", None)],
+    [("12.7", "integer", 13), ("-2.5", "integer", -3), ("1e3", "integer", 1000), ("5d", "decimal", None), ("1_000", "decimal", None), (" 7 ", "integer", 7), ("", "integer", None), ("x", "string", "x"), ("  ", "string", None), ("99999999999999999999", "integer", None), ("2025-01", "date", None), ("\t5 ", "integer", 5), ("\t5.5", "decimal", 5.5)],
 )
 def test_typed_values(spark, text, kind, value):
     assert spark.range(1).select(exprs.typed(F.lit(text), kind, ("%Y-%m-%d",)).alias("v")).first()["v"] == value
@@ -97,12 +168,6 @@ def test_dates_without_leading_zeros(spark):
     assert (str(row["a"]), str(row["b"]), row["c"]) == ("2025-01-05", "2024-02-29", None)
 
 
-def test_patterns():
-    assert exprs.java_pattern("%Y-%m-%dT%H:%M:%SZ") == "y-M-d'T'H:m:s'Z'"
-    with pytest.raises(ValueError):
-        exprs.java_pattern("%Q")
-
-
 @given(st.integers(-(10**12), 10**12))
 def test_rounding_is_half_away_from_zero(n):
     import decimal
