@@ -108,13 +108,15 @@ def manifest(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(f"{WRITTEN}, first_doc long, first_token long, key_type string").parquet(f"{qualified(spark, folder)}/manifest")
 
 
-def read(spark: SparkSession, folder: str, key_type: str = "bigint", slice_docs: int = 20_000) -> DataFrame:
+def read(spark: SparkSession, folder: str, key_type: str | None = None, slice_docs: int = 20_000) -> DataFrame:
     """(position, key, start, n_tokens, ids) of all documents in the files below `folder`, from mapped memory.
 
     `position` and `start` count documents and ids over all parts; `ids` are little-endian unsigned 32-bit, whatever the file's
-    width. A task reads ranges of at most `slice_docs` documents, and maps only the pages that hold them.
+    width. A task reads ranges of at most `slice_docs` documents, and maps only the pages that hold them. The key's type
+    is that of the manifest, unless it is given.
     """
     folder = qualified(spark, folder)
+    key_type = key_type or (manifest(spark, folder).select("key_type").first() or ["bigint"])[0]
     schema = f"position long, key {key_type}, start long, n_tokens long, ids binary"
     ranges = manifest(spark, folder).withColumn("low", F.explode(F.sequence(F.lit(0).cast("long"), F.col("docs") - 1, F.lit(slice_docs).cast("long"))))
     ranges = ranges.select("name", "width", "first_doc", "first_token", "low", F.least("docs", F.col("low") + slice_docs).alias("high"))
