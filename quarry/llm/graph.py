@@ -22,7 +22,8 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
     )
     while True:
         both = stars.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionByName(stars.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        # written, so that the join below has a shuffle of its own on either side: adaptive execution splits the edges of a hot node
+        least = common.materialise(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), label)
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo"))
         # an edge (u, m) is already among them: u's smallest neighbour m has u as a larger neighbour
         large = large.where("hi <> lo").distinct()
@@ -33,6 +34,7 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
         digest = [F.count("*"), F.coalesce(F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)")), F.lit(0))]
         same = new.agg(*digest).first() == stars.agg(*digest).first()
         common.discard(stars)
+        common.discard(least)
         stars = new
         if same:
             break

@@ -15,6 +15,7 @@ Jaccard distance (1 - share) is a metric; two documents link within `radius` = 1
      The regions are dealt out again by new pivots, `LEVELS` times; what is still large then is compared as pairs of blocks.
      Among near copies of one text nearly all are in all windows. A region whose windows make more than they part
      (`GAIN`, `COPIES`) is left as it was, with the links found, and compared as pairs of blocks at once.
+     A document counts for `LEAST` shingles there if it has fewer, so that a block is bounded in pairs too.
   2. Within `block` shingles the same recursion runs in memory, down to exact intersections of the pairs that no
      window excludes. A pair of one component is not looked at again, nor one of documents that have too few shingles
      in common with all others there together.
@@ -49,8 +50,10 @@ SAMPLE_ROWS, MOST_FREQUENT = 4_000, 500_000
 LEVELS, PIVOTS = 3, 16
 #: A region is dealt out if its parts have at most this share of its pairs, and this many times its shingles, together.
 GAIN, COPIES = 0.5, 1.5
-#: Shingles counted in one task.
-BUCKET = 8_000_000
+#: Shingles counted in one task, and documents' rows in one group.
+BUCKET, GROUP_ROWS = 8_000_000, 50_000
+#: A document weighs as many shingles at least where a block is filled, which so bounds its pairs too.
+LEAST = 64
 
 
 def sets(data: np.ndarray, bounds: np.ndarray, width: int) -> Iterator[np.ndarray]:
@@ -251,8 +254,8 @@ def _dealt(percent: int):
 # --- document counts of shingles
 
 
-def frequent(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray, float]:
-    """Frequent shingles by a bounded sample of rows (sorted hashes, counts), and the mean size of a set there."""
+def frequent(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray, float, int]:
+    """Frequent shingles by a bounded sample of rows (sorted hashes, counts), the shingles of all rows by the mean size there, and the rows."""
     total = docs.count()
     sample = docs if total <= SAMPLE_ROWS else docs.sample(SAMPLE_ROWS / total, seed=7)
 
@@ -271,13 +274,13 @@ def frequent(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray, float
     common.discard(counted)
     h, n = got["h"].to_numpy(dtype=np.int64).view(np.uint64), got["n"].to_numpy(dtype=np.int64)
     order = np.argsort(h)
-    return h[order], n[order], shingles / max(1, rows) * total
+    return h[order], n[order], shingles / max(1, rows) * total, total
 
 
 _PLACED = ["bucket", "id", "text_key", "n", "rest", "node", "frequent", "nodes", "counts", "low", "lowest"]
 
 
-def _place(width: int, percent: int, bits: int, shift: int, heavy):
+def _place(width: int, percent: int, bits: int, shift: int, groups: int, heavy):
     """Of each text a row (bucket < 0), and of each batch its classes' shingles by buckets, five bytes each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -301,8 +304,8 @@ def _place(width: int, percent: int, bits: int, shift: int, heavy):
             spot = spot[np.arange(len(of)) - first < (window - rest)[of] + rest[of]]
             lists = _lists(pivot[spot].view(np.int64), np.bincount(owner[spot], minlength=len(every)), pa.int64())
             m = len(every)
-            where = -1 - np.arange(m, dtype=np.int32) % 64
-            yield pa.RecordBatch.from_arrays([pa.array(where, pa.int32()), batch.column(0), batch.column(1), pa.array(n), pa.array(rest), pa.array(node), lists, *(none(m, pa.binary()) for _ in range(4))], names=_PLACED)
+            where = -1 - (np.arange(m) + (batch.column(1)[0].as_py() or 0) % groups) % groups if m else np.zeros(0)
+            yield pa.RecordBatch.from_arrays([pa.array(where.astype(np.int32)), batch.column(0), batch.column(1), pa.array(n), pa.array(rest), pa.array(node), lists, *(none(m, pa.binary()) for _ in range(4))], names=_PLACED)
             valid = np.zeros(m, bool)
             valid[np.unique(node, return_index=True)[1]] = True
             valid &= n > 0
@@ -365,7 +368,7 @@ def grouped(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int
     common.bound_batches(spark)
     given = docs.select(F.col(key).alias("id"), F.xxhash64(F.col(text)).alias("text_key"), F.col(text).alias("text"))
     kind = given.dtypes[0][1]
-    often, counts, shingles = frequent(given, width)
+    often, counts, shingles, total = frequent(given, width)
     bits = max(6, int(np.ceil(np.log2(max(1.0, shingles / BUCKET)))))
     shift = max(0, 24 - bits)
     rank = np.empty(len(often), np.int64)
@@ -373,7 +376,7 @@ def grouped(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int
     heavy = spark.sparkContext.broadcast((often >> np.uint64(shift), rank))
 
     schema = f"bucket int, id {kind}, text_key long, n long, rest long, node long, frequent array<bigint>, nodes binary, counts binary, low binary, lowest binary"
-    spread = given.mapInArrow(common.releasing(_place(width, percent, bits, shift, heavy)), schema)
+    spread = given.mapInArrow(common.releasing(_place(width, percent, bits, shift, max(64, -(-total // GROUP_ROWS)), heavy)), schema)
     found = spread.groupBy("bucket").applyInArrow(_counted(bits), f"id {kind}, text_key long, n long, rest long, node long, frequent array<bigint>, pivot long, df int")
     found = common.materialise(found, "jaccard-counts")
     placed = found.where("pivot is null").select("id", "text_key", "n", "rest", "node", "frequent")
@@ -416,7 +419,7 @@ def _links(given: DataFrame, classes: DataFrame, clusters: DataFrame, width: int
 
     Adds to `spent` what is no longer needed once the edges are."""
     spark = given.sparkSession
-    size = classes.select("node", "n")
+    size = classes.select("node", F.greatest("n", F.lit(LEAST).cast("long")).alias("n"))
     columns = ["part", "region", "slot", "component", "node"]
     edges = spark.createDataFrame([], "a long, b long")
 
