@@ -60,7 +60,8 @@ def matches(text: Column, pattern: str) -> Column:
 def _placed(joined: Column) -> Column:
     def word(x: Column, i: Column) -> Column:
         behind = F.concat(F.coalesce(F.get(joined, i - 1)["m"], F.lit("")), x["b"])
-        left = F.nullif(F.regexp_extract(F.substring(behind, -40, 40), r"(\S+)\s*$", 1), F.lit(""))
+        # read backwards, where the word is the first one: a search for the last one tries every place
+        left = F.nullif(F.reverse(F.regexp_extract(F.reverse(behind), r"^\s*+(\S++)", 1)), F.lit(""))
         return F.struct(F.char_length(x["b"]).alias("gap"), F.char_length(x["m"]).alias("n"), x["m"].alias("m"), left.alias("left"))
 
     def add(acc: Column, total: Column) -> Column:
