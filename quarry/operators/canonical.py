@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import hashlib
+import json
+import re
 from dataclasses import dataclass
 from functools import reduce
 
@@ -10,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.operators.latest import latest_per_key, natural_version
+from quarry.sources.files import ObjectStore
 from quarry.sources.layouts import CanonicalSchema
 
 #: Canonical type names and what they are in Spark.
@@ -98,10 +101,40 @@ class BuildResult:
     rows: int | None = None
 
 
+def _place(spark: SparkSession, path: str, month: str) -> tuple[str, str] | None:
+    """What to read for a month of a winner's table and the name of the table's folder in its files' paths; None: no such month."""
+    path = path.rstrip("/")
+    jvm = spark._jvm.org.apache.hadoop.fs.Path
+    fs = jvm(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    root = re.sub("^file:/+", "file:/", fs.makeQualified(jvm(path)).toUri().toString())
+    part = f"{path}/atomic_month={month}"
+    if fs.exists(jvm(part)):
+        return part, root
+    parted = fs.exists(jvm(path)) and any(s.isDirectory() and s.getPath().getName().startswith("atomic_month=") for s in fs.listStatus(jvm(path)))
+    return None if parted else (path, root)
+
+
+def _class_frame(spark: SparkSession, places: list[tuple[str, str]], winners: list[Winner], state: str, file_type: str, month: str, schema: CanonicalSchema, now: Column) -> DataFrame:
+    """Winners of one mapping and layout: one scan of all their folders; whose a row is follows from its file's path."""
+    names = spark.createDataFrame([(root, w.submitter_id, w.submission_id) for (_, root), w in zip(places, winners, strict=True)], "_root string, _submitter string, _submission string")
+    df = spark.read.option("mergeSchema", "true").parquet(*(path for path, _ in places))
+    if "atomic_month" in df.columns:  # a column of the files
+        df = df.where(F.col("atomic_month") == month)
+    file = F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "file:/")
+    df = df.select("*", F.regexp_extract(file, "^(.*?)(/atomic_month=[^/]*)?/[^/]*$", 1).alias("_root")).join(names, "_root")
+    lineage = {
+        "state": F.lit(state), "file_type": F.lit(file_type), "atomic_month": F.lit(month), "submitter_id": F.col("_submitter"), "source_submission_id": F.col("_submission"),
+        "source_layout_id": F.lit(winners[0].layout_id), "canonical_schema_version": F.lit(schema.version), "canonical_built_at": now,
+    }
+    return map_to_canonical(df, schema, winners[0].mapping, lineage)
+
+
 def build_month(spark: SparkSession, out: str, state: str, file_type: str, month: str, schema: CanonicalSchema, winners: list[Winner], previous: str | None, now: Column) -> BuildResult:
     """Replace a month of the canonical table with the union of its winners; SKIPPED if the inputs are unchanged.
 
-    One plan for each winner, one union, one write; the number of rows is observed by the write itself.
+    Winners of one layout and mapping are a class, and one scan of many folders: the plan has a branch for each class, however
+    many submitters there are. The write is rebalanced and observes its number of rows. A month that has no rows
+    any more is emptied.
     """
     from pyspark.sql import Observation
 
@@ -110,17 +143,17 @@ def build_month(spark: SparkSession, out: str, state: str, file_type: str, month
     mark = input_fingerprint(schema, winners)
     if mark == previous:
         return BuildResult("SKIPPED", mark)
-    frames = []
-    for w in winners:
-        lineage = {
-            "state": F.lit(state), "file_type": F.lit(file_type), "atomic_month": F.lit(month), "submitter_id": F.lit(w.submitter_id), "source_submission_id": F.lit(w.submission_id),
-            "source_layout_id": F.lit(w.layout_id), "canonical_schema_version": F.lit(schema.version), "canonical_built_at": now,
-        }
-        df = spark.read.parquet(w.path)
-        if "atomic_month" in df.columns:
-            df = df.where(F.col("atomic_month") == month)
-        frames.append(map_to_canonical(df, schema, w.mapping, lineage))
-    seen = Observation()
-    union = reduce(DataFrame.unionByName, frames).observe(seen, F.count("*").alias("rows"))
-    union.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("atomic_month").parquet(out)
-    return BuildResult("SUCCEEDED", mark, seen.get["rows"])
+    classes: dict[tuple, list[tuple[tuple[str, str], Winner]]] = {}
+    for w in sorted(winners, key=lambda w: (w.submitter_id, w.submission_id)):
+        if place := _place(spark, w.path, month):
+            classes.setdefault((w.layout_id, json.dumps(w.mapping, sort_keys=True)), []).append((place, w))
+    rows = 0
+    if classes:
+        frames = [_class_frame(spark, [p for p, _ in members], [w for _, w in members], state, file_type, month, schema, now) for members in classes.values()]
+        seen = Observation()
+        union = reduce(DataFrame.unionByName, frames).observe(seen, F.count("*").alias("rows"))
+        union.hint("rebalance").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("atomic_month").parquet(out)
+        rows = seen.get["rows"]
+    if not rows:  # the write replaced nothing
+        ObjectStore(spark, out).delete(f"atomic_month={month}")
+    return BuildResult("SUCCEEDED", mark, rows)

@@ -132,6 +132,41 @@ def filename_columns(filename: Column) -> Column:
     return F.coalesce(*(CoverageConvention(t).columns(filename) for t in DEFAULT_TYPES), unknown)
 
 
+#: Copies of a rule, so that one which very many files ask for is not one task's work; most characters of an indexed beginning.
+RULE_COPIES, LITERAL = 16, 8
+
+
+def literal_prefix(pattern: Column) -> Column:
+    """Characters that every match of an anchored pattern begins with; empty where the pattern doesn't tell."""
+    bare = F.regexp_replace(F.coalesce(pattern, F.lit("")), r"^\^", "")
+    letters = F.regexp_extract(bare, "^([A-Za-z0-9_ -]*)", 1)
+    last_may_lack = F.substr(bare, F.length(letters) + 1, F.lit(1)).isin("*", "?", "{")
+    letters = F.when(last_may_lack, F.substr(letters, F.lit(1), F.greatest(F.length(letters) - 1, F.lit(0)))).otherwise(letters)
+    return F.when(bare.contains("|") | bare.startswith("(?"), "").otherwise(F.substr(letters, F.lit(1), F.lit(LITERAL)))
+
+
+def _matching(files: DataFrame, active: DataFrame) -> DataFrame:
+    """Files with the rules that match them, from an index of the rules by submitter, extension and literal beginning.
+
+    A file asks for its own submitter and `*`, each of its endings and none, and its beginnings of the lengths that occur: an
+    equi-join, whose few hits are then held against ending and pattern. Rules are there `RULE_COPIES` times and a
+    file asks for one copy, whichever side is large.
+    """
+    index = active.withColumn("_ext", F.coalesce(F.lower("extension"), F.lit(""))).withColumn("_begins", literal_prefix(F.col("pattern")))
+    lengths = sorted(r[0] for r in index.select(F.length("_begins")).distinct().collect())  # at most LITERAL + 1
+    index = index.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(RULE_COPIES - 1))))
+    parts = F.split(F.lower("filename"), r"\.")
+    endings = F.when(F.size(parts) > 1, F.transform(F.sequence(F.lit(2), F.greatest(F.size(parts), F.lit(2))), lambda i: F.array_join(F.slice(parts, i, F.size(parts)), "."))).otherwise(F.array().cast("array<string>"))
+    asked = files.withColumn("_copy", F.pmod(F.xxhash64("group_id", "filename"), F.lit(RULE_COPIES)).cast("int"))
+    asked = asked.withColumn("rs", F.explode(F.array_distinct(F.array("submitter_id", F.lit("*"))))).withColumn("_ext", F.explode(F.array_distinct(F.concat(F.array(F.lit("")), endings))))
+    asked = asked.withColumn("_begins", F.explode(F.array_distinct(F.array(*(F.substr(F.col("filename"), F.lit(1), F.lit(n)) for n in lengths or [0])))))
+    match = (
+        (F.col("extension").isNull() | F.lower("filename").endswith(F.concat(F.lit("."), F.lower("extension"))))
+        & (F.col("pattern").isNull() | F.expr("filename RLIKE concat('^(?:', pattern, ')')"))
+    )
+    return asked.join(index, ["rs", "_ext", "_begins", "_copy"]).where(match).drop("_ext", "_begins", "_copy")
+
+
 def route(files: DataFrame, rules: DataFrame, layouts: DataFrame) -> DataFrame:
     """(group_id, file_type, layout_id, reason) for each group of files.
 
@@ -140,17 +175,7 @@ def route(files: DataFrame, rules: DataFrame, layouts: DataFrame) -> DataFrame:
     submitter and of `*` that match a file decide; own rules come before those of `*`, then priority. Without a rule
     the file names do, and the only active layout of the type is taken, own before `*`.
     """
-    active = rules.where("status = 'ACTIVE'").select("rule_id", F.col("submitter_id").alias("rs"), F.col("file_type").alias("rt"), "pattern", "extension", F.col("layout_id").alias("rl"), "priority")
-    match = (
-        (F.col("extension").isNull() | F.lower("filename").endswith(F.concat(F.lit("."), F.lower("extension"))))
-        & (F.col("pattern").isNull() | F.expr("filename RLIKE concat('^(?:', pattern, ')')"))
-    )
-    few = active.count() <= 10_000
-    # own rules meet their files by submitter; each file tries those of all submitters, which have a file type each
-    mine = files.join(F.broadcast(active) if few else active, (F.col("rs") == F.col("submitter_id")) & match)
-    shared = active.where("rs = '*'")
-    all_ = files.where("submitter_id <> '*'").withColumn("_all", F.lit("*")).join(F.broadcast(shared) if few else shared, (F.col("rs") == F.col("_all")) & match).drop("_all")
-    hit = mine.unionByName(all_)
+    hit = _matching(files, rules.where("status = 'ACTIVE'").select("rule_id", F.col("submitter_id").alias("rs"), F.col("file_type").alias("rt"), "pattern", "extension", F.col("layout_id").alias("rl"), "priority"))
     own = F.when(F.col("rs") == F.col("submitter_id"), 0).otherwise(1)
     scored = hit.withColumn("score", F.struct(own.alias("own"), F.col("priority").alias("p")))
     types = scored.groupBy("group_id").agg(F.count_distinct("rt").alias("types"), F.min("rt").alias("rule_type"), F.min("score").alias("top"))

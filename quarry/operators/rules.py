@@ -179,6 +179,37 @@ def samples(df: DataFrame, rules: list[Rule], order: list[str], most: int = SAMP
     return reduce(DataFrame.unionByName, parts).withColumn("_rank", rank).where(F.col("_rank") <= most).drop("_rank")
 
 
+#: Bins of submissions without months, which only unbounded windows meet.
+SALTS = 64
+
+
+def _by_month(s: DataFrame, r: DataFrame) -> DataFrame:
+    """Submissions (s0, s1) with the rule sets of their type whose windows may overlap: an interval join on bins of a month.
+
+    Either side is there once for each of its months, and a pair counts in the first month that both have. Windows are
+    cut to the months that submissions cover at all. Submissions without a month are dealt over `SALTS` bins, which
+    unbounded windows are in too, so no key but (type, month) is ever hot.
+    """
+    span = s.agg(F.min(F.least("s0", "s1")).alias("low"), F.max(F.greatest("s0", "s1")).alias("high")).first()
+    number = lambda d: F.year(d) * 12 + F.month(d)
+    low, high = F.lit(span["low"]).cast("date"), F.lit(span["high"]).cast("date")
+    salt = -1 - F.pmod(F.xxhash64("submission_id"), F.lit(SALTS)).cast("int")
+    s = s.withColumn("a", F.when(F.col("s0").isNotNull() & F.col("s1").isNotNull(), number("s0")).otherwise(salt))
+    s = s.withColumn("bin", F.explode(F.sequence("a", F.when(F.col("a") > 0, F.greatest("a", number("s1"))).otherwise(F.col("a")))))
+    begin, end = number(F.greatest(F.coalesce("effective_start", low), low)), number(F.least(F.coalesce("effective_end", high), high))
+    # a window whose end is before its start overlaps what covers both, and has the months between them
+    months = F.sequence(F.least(begin, end), F.greatest(begin, end)) if span["low"] else F.array().cast("array<int>")
+    free = F.col("effective_start").isNull() & F.col("effective_end").isNull()
+    bins = F.concat(months, F.when(free, F.sequence(F.lit(-SALTS), F.lit(-1))).otherwise(F.array().cast("array<int>")))
+    r = r.withColumn("_bins", bins).withColumn("b", F.array_min(F.filter("_bins", lambda x: x > 0))).withColumn("_bin", F.explode("_bins")).drop("_bins")
+    version = F.col("rv").isNull() | (F.col("rv") == F.col("layout_version"))
+    once = (F.col("a") < 0) | (F.col("bin") == F.greatest("a", "b"))
+    met = s.join(r, (F.col("rt") == F.col("file_type")) & (F.col("_bin") == F.col("bin")) & version).where(once)
+    rest = s.select("submission_id", "file_type", "layout_version", "s0", "s1").distinct().join(met.select("submission_id"), "submission_id", "left_anti")
+    columns = ["submission_id", "file_type", "layout_version", "s0", "s1", "rule_set_id", "rt", "rv", "effective_start", "effective_end"]
+    return met.select(columns).unionByName(rest, allowMissingColumns=True)
+
+
 def resolve_rule_set(submissions: DataFrame, rule_sets: DataFrame, strict_tiers: bool = False) -> DataFrame:
     """(submission_id, rule_set_id, tier, candidates): the rule set of each submission, null if none or several fit.
 
@@ -195,7 +226,7 @@ def resolve_rule_set(submissions: DataFrame, rule_sets: DataFrame, strict_tiers:
     overlap = F.coalesce(
         F.col("s0").isNotNull() & F.col("s1").isNotNull() & (F.coalesce(F.col("s0") <= F.col("effective_end"), F.lit(True))) & (F.coalesce(F.col("s1") >= F.col("effective_start"), F.lit(True))), F.lit(False)
     )
-    joined = s.join(r, (F.col("rt") == F.col("file_type")) & (F.col("rv").isNull() | (F.col("rv") == F.col("layout_version"))), "left")
+    joined = _by_month(s, r)
     fits = ~bounded | overlap
     inside = (bounded & overlap) if strict_tiers else fits
     tier = F.when(F.col("rule_set_id").isNull() | ~fits, None).when(F.col("rv").isNotNull() & inside, 1).when(F.col("rv").isNotNull(), 2).when(inside, 3).otherwise(4)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,37 +15,79 @@ def winner_time(validation_ended: Column, received: Column, created: Column) ->
     return F.coalesce(validation_ended, received, created)
 
 
-def record_breakers(offers: DataFrame, keys: list[str], seq: list[str], ts: str) -> DataFrame:
+def _bounds(offers: DataFrame, column: str, chunks: int, most: int = 4000) -> list:
+    """Values that cut the offers into `chunks` ranges of about equal size, from a bounded sample: they say nothing about results."""
+    some = offers.where(F.col(column).isNotNull()).select(F.col(column).alias("v"))
+    total = some.count()
+    if chunks < 2 or not total:
+        return []
+    share = min(1.0, most / total)
+    sample = sorted(r["v"] for r in (some if share == 1 else some.sample(share, seed=11)).collect())
+    return sorted({sample[len(sample) * i // chunks] for i in range(1, chunks)}) if sample else []
+
+
+def _records(offers: DataFrame, keys: list[str], seq: list[str], ts: str, held: DataFrame | None, chunks: int | None, submission: str | None) -> DataFrame:
+    """The records, with the range (`_chunk`) of each and, for a submission, the record before it in that range (`_previous`)."""
+    chunks = chunks or int(offers.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cuts = [F.lit(v) for v in _bounds(offers, seq[0], chunks)]
+    chunk = F.coalesce(F.size(F.filter(F.array(*cuts), lambda v: v <= F.col(seq[0]))), F.lit(0)) if cuts else F.lit(0)
+    placed = offers.where(F.col(ts).isNotNull()).withColumn("_chunk", chunk)
+    tops = placed.groupBy(*keys, "_chunk").agg(F.max(ts).alias("_top"))  # partial maxima before the shuffle
+    if held is not None:
+        tops = tops.unionByName(held.where(F.col(ts).isNotNull()).select(*keys, F.lit(-1).alias("_chunk"), F.col(ts).alias("_top")))
+    before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    bases = tops.withColumn("_base", F.max("_top").over(before)).where("_chunk >= 0 AND (_base IS NULL OR _top > _base)").drop("_top")  # other ranges hold no record
+    same = [F.col(f"o.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]
+    found = placed.alias("o").join(bases.alias("b"), reduce(and_, same, F.col("o._chunk") == F.col("b._chunk"))).select("o.*", "b._base")
+    within = Window.partitionBy(*keys, "_chunk").orderBy(*seq).rowsBetween(Window.unboundedPreceding, -1)
+    best = F.greatest("_base", F.max(ts).over(within))
+    found = found.withColumn("_best", best).withColumn("_record", F.col("_best").isNull() | (F.col(ts) > F.col("_best")))
+    if submission:
+        found = found.withColumn("_previous", F.last(F.when(F.col("_record"), F.col(submission)), True).over(within))
+    return found.where("_record").drop("_record", "_best", "_base")
+
+
+def record_breakers(offers: DataFrame, keys: list[str], seq: list[str], ts: str, held: DataFrame | None = None, chunks: int | None = None) -> DataFrame:
     """Offers that would replace the pointer if taken in the order of `seq`: strictly newer than all before them.
 
-    One window over each key; a tie keeps the incumbent. Offers without a time never win.
+    A segmented prefix maximum in two levels, so that a key with very many offers is the work of many tasks: the order is
+    cut into ranges of the first of `seq`; each key's maxima in its ranges are scanned, which gives what is best before a
+    range, and records are found within it. A tie keeps the incumbent, and an offer without a time never wins. `held`
+    (keys, `ts`) are times that stand before all offers.
     """
-    before = Window.partitionBy(*keys).orderBy(*seq).rowsBetween(Window.unboundedPreceding, -1)
-    best = F.max(ts).over(before)
-    return offers.where(F.col(ts).isNotNull()).withColumn("_best", best).where(F.col("_best").isNull() | (F.col(ts) > F.col("_best"))).drop("_best")
+    return _records(offers, keys, seq, ts, held, chunks, None).drop("_chunk")
+
+
+def _last_two(offers: DataFrame, keys: list[str], seq: list[str], ts: str, submission: str, held: DataFrame | None = None, chunks: int | None = None) -> DataFrame:
+    """(keys, submission, ts, _previous) of each key's last record and the one before it; records of a key rise strictly."""
+    records = _records(offers, keys, seq, ts, held, chunks, submission)
+    each = records.groupBy(*keys, "_chunk").agg(F.max_by(F.struct(F.col(submission).alias("s"), F.col(ts).alias("t"), F.col("_previous").alias("p")), ts).alias("last"))
+    by = Window.partitionBy(*keys).orderBy(F.desc("_chunk"))  # a row for each range
+    top = each.withColumn("_earlier", F.lead("last.s").over(by)).withColumn("_rank", F.row_number().over(by)).where("_rank = 1")
+    return top.select(*keys, F.col("last.s").alias(submission), F.col("last.t").alias(ts), F.coalesce("last.p", "_earlier").alias("_previous"))
 
 
 def resolve(offers: DataFrame, keys: list[str], seq: list[str], ts: str, submission: str = "submission_id") -> DataFrame:
     """(keys, winning_submission_id, replaced_submission_id, winner_timestamp): the pointer after all offers."""
-    record = record_breakers(offers, keys, seq, ts)
-    last = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc(ts)))  # records of a key rise strictly
-    previous = F.lead(submission).over(Window.partitionBy(*keys).orderBy(F.desc(ts)))
-    out = record.withColumn("_rank", last).withColumn("replaced_submission_id", previous).where("_rank = 1")
-    return out.select(*keys, F.col(submission).alias("winning_submission_id"), "replaced_submission_id", F.col(ts).alias("winner_timestamp"))
+    out = _last_two(offers, keys, seq, ts, submission)
+    return out.select(*keys, F.col(submission).alias("winning_submission_id"), F.col("_previous").alias("replaced_submission_id"), F.col(ts).alias("winner_timestamp"))
 
 
 def merge(pointers: DataFrame, offers: DataFrame, keys: list[str], seq: list[str], ts: str = "winner_timestamp", submission: str = "submission_id") -> tuple[DataFrame, DataFrame]:
     """(new pointers, keys whose pointer changed). A stored pointer is an offer before all others of its key."""
-    first = pointers.select(*keys, F.col("winning_submission_id").alias(submission), F.col("winner_timestamp").alias(ts), F.col("replaced_submission_id").alias("_was"), F.lit(True).alias("_held"))
-    new = offers.select(*keys, *seq, submission, ts).withColumn("_held", F.lit(False))
-    both = first.unionByName(new, allowMissingColumns=True)
-    order = [F.desc("_held"), *seq]
-    best = F.max(ts).over(Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
-    record = both.where(F.col(ts).isNotNull()).withColumn("_best", best).where(F.col("_best").isNull() | (F.col(ts) > F.col("_best")))
-    down = Window.partitionBy(*keys).orderBy(F.desc(ts))
-    top = record.withColumn("_rank", F.row_number().over(down)).withColumn("_previous", F.lead(submission).over(down)).where("_rank = 1")
-    out = top.select(*keys, F.col(submission).alias("winning_submission_id"), F.when(F.col("_held"), F.col("_was")).otherwise(F.col("_previous")).alias("replaced_submission_id"), F.col(ts).alias("winner_timestamp"), "_held")
-    return out.drop("_held"), out.where(~F.col("_held")).select(*keys)
+    held = pointers.select(*keys, F.col("winner_timestamp").alias(ts))
+    won = _last_two(offers, keys, seq, ts, submission, held)
+    same = [F.col(f"p.{k}").eqNullSafe(F.col(f"w.{k}")) for k in keys]
+    stored = pointers.where("winner_timestamp IS NOT NULL")
+    j = stored.alias("p").join(won.withColumn("_won", F.lit(True)).alias("w"), reduce(and_, same), "full_outer")
+    new = F.col("w._won")
+    out = j.select(
+        *(F.when(new, F.col(f"w.{k}")).otherwise(F.col(f"p.{k}")).alias(k) for k in keys),
+        F.when(new, F.col(f"w.{submission}")).otherwise(F.col("p.winning_submission_id")).alias("winning_submission_id"),
+        F.when(new, F.coalesce("w._previous", "p.winning_submission_id")).otherwise(F.col("p.replaced_submission_id")).alias("replaced_submission_id"),
+        F.when(new, F.col(f"w.{ts}")).otherwise(F.col("p.winner_timestamp")).alias("winner_timestamp"),
+    )
+    return out, won.select(*keys)
 
 
 def enqueue(queue: DataFrame, changed: DataFrame, now: Column, reason: str) -> DataFrame:

@@ -206,6 +206,30 @@ def mapping_union(spark, sf_dir):
     return a.unionByName(canonical.map_to_canonical(read(spark, sf_dir, "supplier"), _PARTY, two, {"submitter_id": F.lit("supplier")}))
 
 
+_BOOKS = CanonicalSchema("orders/v1", "orders", "v1", (CanonicalColumn("id", "TEXT", True), CanonicalColumn("total", "DOUBLE"), CanonicalColumn("day", "DATE", True), CanonicalColumn("kind", "TEXT")))
+
+
+@query("SELECT 'F' || CAST(o_orderkey AS VARCHAR) AS id, o_totalprice AS total, CAST(o_orderdate AS DATE) AS day, CASE WHEN o_orderstatus = 'P' THEN 'partial' ELSE o_orderpriority END AS kind, strftime(o_orderdate, '%Y-%m') AS atomic_month, 'desk' || o_orderstatus AS submitter_id, 's' || o_orderstatus AS source_submission_id FROM orders WHERE strftime(o_orderdate, '%Y-%m') IN ('1996-03', '1996-05')")
+def canonical_month_build(spark, sf_dir):
+    """Three submitters' tables with months, built onto one schema by two mappings; a build without rows takes April away again."""
+    import uuid
+
+    top = (spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/") + f"/months-{uuid.uuid4().hex}"
+    orders = read(spark, sf_dir, "orders").withColumn("atomic_month", exprs.atomic_month(F.col("o_orderdate"))).where("atomic_month IN ('1996-03', '1996-04', '1996-05')")
+    one = {"id": {"expr": "'F' || o_orderkey"}, "total": {"source": "o_totalprice"}, "day": {"source": "o_orderdate", "cast": "DATE"}, "kind": {"coalesce": ["none", "o_orderpriority"]}}
+    two = one | {"kind": {"const": "partial"}}
+    desks = []
+    for status in "FOP":
+        orders.where(F.col("o_orderstatus") == status).repartition("atomic_month").write.partitionBy("atomic_month").parquet(f"{top}/{status}")
+        desks.append(canonical.Winner(f"desk{status}", f"s{status}", "L2" if status == "P" else "L1", "M", "v1", two if status == "P" else one, f"{top}/{status}"))
+    orders.where("atomic_month = '1996-03'").drop("atomic_month").limit(0).write.parquet(f"{top}/none")
+    for month in ("1996-03", "1996-04", "1996-05"):
+        canonical.build_month(spark, f"{top}/canonical", "TX", "orders", month, _BOOKS, desks, None, F.lit(None).cast("timestamp"))
+    nobody = canonical.Winner("desk0", "s0", "L1", "M", "v1", one, f"{top}/none")
+    canonical.build_month(spark, f"{top}/canonical", "TX", "orders", "1996-04", _BOOKS, [nobody], None, F.lit(None).cast("timestamp"))
+    return spark.read.parquet(f"{top}/canonical").select("id", "total", "day", "kind", "atomic_month", "submitter_id", "source_submission_id")
+
+
 @query("SELECT n_name, sha256(string_agg(s_name || '|' || CAST(s_suppkey AS VARCHAR), chr(10) ORDER BY s_name || '|' || CAST(s_suppkey AS VARCHAR))) AS fingerprint FROM supplier JOIN nation ON s_nationkey = n_nationkey GROUP BY 1")
 def input_fingerprint(spark, sf_dir):
     j = read(spark, sf_dir, "supplier").join(read(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))

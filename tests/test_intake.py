@@ -115,3 +115,31 @@ def test_due_and_run_keys(spark):
     done = s.where("received_at < 25").select("submission_id")
     assert inbox.due(s, ("VALIDATED",), done).count() == 5 and inbox.due(s, ("VALIDATED",)).count() == 25
     assert inbox.run_key("c", ["TX"], 1) != inbox.run_key("c", ["TX"], 2) == inbox.run_key("c", ["TX"], 2)
+
+
+PATTERNS = [None, "medical_", "^med", "med(ical)?_.*", "x?medical", "medical*", "(?i)MEDICAL", "pharmacy|medical", "[mp]", "medical_2025.*csv$", "members_[0-9]+", "", "claims 2025-", "a{2}b"]
+NAMES = ["medical_202501.csv", "Medical_1.CSV", "pharmacy.csv.gz", "members_7.txt", "noext", "medica", "claims 2025-01.csv", "aab.csv", "trailing.", ".csv", "x.Y.csv"]
+
+
+def test_index_of_rules_equals_all_pairs(spark):
+    import random
+    import re
+
+    rng = random.Random(8)
+    rules = [(i, rng.choice(["*", "u", "v"]), "t", rng.choice(PATTERNS), rng.choice([None, "csv", "CSV", "gz", "csv.gz", "txt", ""]), f"L{i}", 1, rng.choice(["ACTIVE", "ACTIVE", "OLD"])) for i in range(120)]
+    files = [(f"g{i}", u, n) for i, (u, n) in enumerate((u, n) for u in ("u", "v", "w", "*") for n in NAMES)]
+    active = spark.createDataFrame(rules, RULES).where("status = 'ACTIVE'").select("rule_id", F.col("submitter_id").alias("rs"), F.col("file_type").alias("rt"), "pattern", "extension", F.col("layout_id").alias("rl"), "priority")
+    got = intake._matching(spark.createDataFrame(files, "group_id string, submitter_id string, filename string"), active)
+    want = sorted(
+        (g, i) for g, u, n in files for i, s, _, p, e, _, _, status in rules
+        if status == "ACTIVE" and s in (u, "*") and (e is None or n.lower().endswith("." + e.lower())) and (p is None or re.match(f"(?:{p})" if not p.startswith("(?i)") else p, n))
+    )
+    assert sorted((r["group_id"], r["rule_id"]) for r in got.collect()) == want
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_beginnings_of_patterns(spark):
+    rows = spark.createDataFrame([(p,) for p in PATTERNS], "p string").select("p", intake.literal_prefix(F.col("p")).alias("l")).collect()
+    want = {"medical_": "medical_", "^med": "med", "med(ical)?_.*": "med", "x?medical": "", "medical*": "medica", "medical_2025.*csv$": "medical_", "members_[0-9]+": "members_", "claims 2025-": "claims 2", "a{2}b": ""}
+    assert {r["p"]: r["l"] for r in rows} == {p: want.get(p, "") for p in PATTERNS}

@@ -36,6 +36,26 @@ def test_merge_equals_updates_in_turn(spark, seed):
     assert {tuple(r) for r in changed.collect()} == dirty
 
 
+@pytest.mark.parametrize("chunks", [1, 3, 40])
+def test_records_of_one_key_in_ranges(spark, chunks):
+    """The same records however the order is cut, with ties, nulls and equal places in the order's first column."""
+    rng = random.Random(chunks)
+    offers = [("TX", None, "u", "2025-01", i // 3, f"s{i:03d}", rng.choice([None, *(T0 + timedelta(days=d) for d in range(30))])) for i in range(200)]
+    df = spark.createDataFrame(offers, OFFER)
+    want, best = [], None
+    for o in offers:
+        if o[6] is not None and (best is None or o[6] > best):
+            want.append(o[5])
+            best = o[6]
+    got = winners.record_breakers(df, KEYS, ["seq", "submission_id"], "winner_timestamp", chunks=chunks)
+    assert sorted(r["submission_id"] for r in got.collect()) == want and got.columns == df.columns
+    last = winners._last_two(df, KEYS, ["seq", "submission_id"], "winner_timestamp", "submission_id", chunks=chunks).first()
+    assert (last["submission_id"], last["_previous"]) == (want[-1], want[-2])
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert chunks == 1 or "_chunk" in next(line for line in plan.splitlines() if "Window" in line and "seq" in line)  # a key is dealt out by its ranges
+    assert winners.record_breakers(df.limit(0), KEYS, ["seq"], "winner_timestamp").count() == 0
+
+
 def test_older_submission_changes_nothing(spark):
     pointers = spark.createDataFrame([("TX", "m", "u", "2025-01", "new", None, T0)], POINTER)
     offers = spark.createDataFrame([("TX", "m", "u", "2025-01", 1, "old", T0 - timedelta(days=1)), ("TX", "m", "u", "2025-01", 2, "tie", T0)], OFFER)
@@ -92,6 +112,31 @@ def test_build_skip_and_correction(spark, tmp_path):
     assert canonical.input_fingerprint(SCHEMA, newer) != first.fingerprint
 
 
+def test_build_by_mapping_class(spark, tmp_path, monkeypatch):
+    """The plan has a scan for each class, whatever the submitters; rows keep their submitters; a month without rows is emptied."""
+    one = {"member_id": {"source": "PATIENT"}, "start": {"source": "START", "cast": "DATE"}}
+    ws = []
+    for i in range(12):
+        path = str(tmp_path / f"u {i}")  # a name that paths write with signs
+        rows = spark.createDataFrame([(f"p{i}", None, None, "2025-01-02", m) for m in (["2025-01"] if i % 3 else ["2025-02"])], "PATIENT string, PROVIDER string, ORGANIZATION string, START string, atomic_month string")
+        rows.write.partitionBy("atomic_month").parquet(path)
+        ws.append(canonical.Winner(f"u{i}", f"s{i}", f"L{i % 2}", "M", "v1", one if i % 2 else one | {"provider_id": {"const": "C"}}, path))
+    plans, frame = [], canonical._class_frame
+    monkeypatch.setattr(canonical, "_class_frame", lambda *a: plans.append(frame(*a)) or plans[-1])
+    out = str(tmp_path / "canonical")
+    got = canonical.build_month(spark, out, "TX", "medical", "2025-01", SCHEMA, ws, None, F.lit(T0))
+    assert got.rows == 8 and len(plans) == 2
+    assert all(p._jdf.queryExecution().optimizedPlan().toString().count("Relation ") == 1 for p in plans)
+    df = spark.read.parquet(out)
+    assert {(r["submitter_id"], r["source_submission_id"], r["member_id"], r["source_layout_id"]) for r in df.collect()} == {(f"u{i}", f"s{i}", f"p{i}", f"L{i % 2}") for i in range(12) if i % 3}
+    canonical.build_month(spark, out, "TX", "medical", "2025-02", SCHEMA, ws, None, F.lit(T0))
+    emptied = canonical.build_month(spark, out, "TX", "medical", "2025-01", SCHEMA, [ws[0]], got.fingerprint, F.lit(T0))
+    assert (emptied.status, emptied.rows) == ("SUCCEEDED", 0)
+    assert {r["atomic_month"] for r in spark.read.parquet(out).collect()} == {"2025-02"}
+    none = canonical.build_month(spark, out, "TX", "medical", "2025-02", SCHEMA, [canonical.Winner("u", "s", "L", "M", "v1", one, silver(spark, tmp_path, "other", [("p", None, None, "2025-01-01", "2025-01")]))], None, F.lit(T0))
+    assert none.rows == 0
+
+
 def test_mapping_errors(spark):
     df = spark.createDataFrame([("1",)], "A string")
     for spec in ({"source": "B"}, {"coalesce": []}, {"source": "A", "const": 1}, {}):

@@ -127,3 +127,49 @@ def test_rule_set_of_a_submission_with_its_last_month_alone(spark):
     s = spark.createDataFrame([("s", "medical", "v1", None, "2024-05")], "submission_id string, file_type string, layout_version string, coverage_start_month string, coverage_end_month string")
     r = spark.sql("SELECT 'R' AS rule_set_id, 'medical' AS file_type, 'v1' AS layout_version, DATE '2024-04-01' AS effective_start, DATE '2024-06-30' AS effective_end, 'ACTIVE' AS status")
     assert rules.resolve_rule_set(s, r).first()["rule_set_id"] == "R"
+
+
+def test_rule_sets_equal_an_all_pairs_join(spark):
+    """Bins of months find what a join of all submissions and rule sets finds, tiers included."""
+    import random
+    from datetime import date
+
+    rng = random.Random(4)
+    month = lambda: f"20{rng.randrange(23, 26)}{rng.randrange(1, 13):02d}"
+    subs = []
+    for i in range(80):
+        a, b = sorted((month(), month()))
+        subs.append((f"s{i}", rng.choice(["medical", "pharmacy"]), rng.choice(["v1", "v2", None]), *rng.choice([(a, b), (b, a), (a, None), (None, b), (None, None), ("bad", b), (a, "bad")])))
+    day = lambda: date(rng.randrange(2022, 2027), rng.randrange(1, 13), rng.randrange(1, 29))
+    sets = []
+    for i in range(30):
+        a, b = sorted((day(), day()))
+        sets.append((f"r{i}", rng.choice(["medical", "pharmacy", "members"]), rng.choice([None, "v1", "v2"]), *rng.choice([(a, b), (a, None), (None, b), (None, None), (b, a)]), rng.choice(["ACTIVE", "ACTIVE", "OLD"])))
+    s = spark.createDataFrame(subs, "submission_id string, file_type string, layout_version string, coverage_start_month string, coverage_end_month string")
+    r = spark.createDataFrame(sets, "rule_set_id string, file_type string, layout_version string, effective_start date, effective_end date, status string")
+
+    def want(strict):
+        out = set()
+        for sid, kind, version, c0, c1 in subs:
+            first = lambda m: date(int(m[:4]), int(m[4:]), 1) if m and m.isdigit() else None
+            s0, s1 = first(c0 if c0 is not None else c1), first(c1 if c1 is not None else c0)
+            if s1:
+                s1 = date(s1.year + s1.month // 12, s1.month % 12 + 1, 1)  # exclusive
+            tiers = {}
+            for rid, rt, rv, e0, e1, status in sets:
+                if status != "ACTIVE" or rt != kind or (rv is not None and rv != version):
+                    continue
+                bounded = e0 is not None or e1 is not None
+                over = s0 is not None and s1 is not None and (e1 is None or s0 <= e1) and (e0 is None or s1 > e0)
+                if bounded and not over:
+                    continue
+                inside = (bounded and over) if strict else True
+                tiers.setdefault((1 if inside else 2) if rv is not None else (3 if inside else 4), []).append(rid)
+            best = min(tiers, default=None)
+            out.add((sid, tiers[best][0] if best and len(tiers[best]) == 1 else None, best, len(tiers[best]) if best else 0))
+        return out
+
+    for strict in (False, True):
+        assert {tuple(x) for x in rules.resolve_rule_set(s, r, strict).collect()} == want(strict)
+    none = r.limit(0)
+    assert {x["tier"] for x in rules.resolve_rule_set(s, none).collect()} == {None} and rules.resolve_rule_set(s.limit(0), r).count() == 0
