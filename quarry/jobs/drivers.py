@@ -1,8 +1,10 @@
 """Jobs over the metadata store: inbox to submissions, parse, validate, merge into submitters' months, canonical builds.
 
-Each job takes what is due, oldest first, and records a run for each piece of work, so that a job that is started again
-goes on where it stopped: a run key in `job_run` says what is done, and every write of data replaces what it writes.
-One submission that fails has its error in its run and stops no other. Sizes of batches are those of the pickers.
+Each job takes what is due, oldest first, and records a run for each piece of work. What is due follows from a submission's
+status, which is written behind the work and its run: a job that broke off anywhere is started again with the same work,
+whose writes of data replace what is there. A submission is recorded before its objects are moved, and a sweep first
+ends the moves that an earlier one began. One submission that fails has its error in its run, stops no other, and
+comes behind those that have failed less often. Sizes of batches are those of the pickers.
 """
 
 from __future__ import annotations
@@ -26,6 +28,7 @@ from quarry.sources.metadata import Metadata
 from quarry.streaming.inbox import due, run_key
 
 POINTER = ["state", "file_type", "submitter_id", "atomic_month"]
+RECEIVING = "RECEIVING"
 VALID = ("VALIDATED", "VALIDATED_WITH_WARNINGS")
 
 
@@ -102,21 +105,16 @@ class Jobs:
     def _at(self):
         return F.lit(self.now())
 
-    def once(self, job: str, key: str, work: Callable[[], None]) -> bool:
-        """Does `work` unless a run of this key is done."""
-        if self.meta.read("job_run").where(F.col("run_key") == key).limit(1).count():
-            return False
-        work()
-        self.meta.append("job_run", [{"run_key": key, "job": job, "done_at": self.now()}])
-        return True
-
     # --- inbox
 
     def sweep(self, quiet_minutes: int = intake.QUIET_MINUTES) -> list[str]:
         """Lists the inbox, records what changed, and makes a submission of each closed group that is new.
 
         Changes are told by size and etag against the last listing, so an object that comes late with an old time counts.
+        Submissions whose objects an earlier sweep has not moved to the end come first.
         """
+        for r in self.meta.read("submission").where(F.col("status") == RECEIVING).collect():
+            self._receive(r.asDict())
         listing = self.spark.createDataFrame([(o["object_key"], o["bytes"], o["etag"]) for o in self.store.list("inbox")], "object_key string, bytes long, etag string")
         self.meta.replace("inbox_object", intake.detect_changes(self.meta.read("inbox_object"), listing, self._at()))
         objects = self.meta.read("inbox_object")
@@ -125,35 +123,41 @@ class Jobs:
         for g in intake.new_groups(groups, self.meta.read("submission")).orderBy("inbox_prefix").collect():
             files = self.spark.createDataFrame([("g", g["submitter_id"], k.rsplit("/", 1)[-1]) for k in g["object_keys"]], "group_id string, submitter_id string, filename string")
             routed = intake.route(files, self.meta.read("submitter_file_config"), self.meta.read("layout_registry")).first()
-            keys = self.spark.createDataFrame([(k,) for k in g["object_keys"]], "object_key string")
-            self.meta.replace("inbox_object", intake.claim(objects, keys, "CLAIMED"))
-            new = intake.Inbox(self.store, lambda f=g["fingerprint"]: f[:32]).process(g["submitter_id"], g["inbox_prefix"], g["object_keys"], routed["file_type"], g["fingerprint"], self.now().isoformat())
             layout = self.meta.read("layout_registry").where(F.col("layout_id") == routed["layout_id"]).select("layout_version").first() if routed["layout_id"] else None
-            sid = new["submission_id"]
+            state = self.meta.read("submitter").where(F.col("submitter_id") == g["submitter_id"]).select("state").first()
+            new = self._inbox(g["fingerprint"]).plan(g["submitter_id"], g["inbox_prefix"], g["object_keys"], routed["file_type"], g["fingerprint"], self.now().isoformat())
             row = {k: v for k, v in new.items() if k not in ("files", "received_at")} | {
                 "file_type": routed["file_type"], "layout_id": routed["layout_id"], "layout_version": layout[0] if layout else None, "received_at": self.now(), "group_fingerprint": g["fingerprint"],
-                "inbox_prefix": g["inbox_prefix"], "submitter_id": g["submitter_id"], "status": "READY_FOR_PARSE" if routed["layout_id"] else "NEEDS_REVIEW",
+                "inbox_prefix": g["inbox_prefix"], "submitter_id": g["submitter_id"], "state": state[0] if state else None, "status": RECEIVING,
             }
-            state = self.meta.read("submitter").where(F.col("submitter_id") == g["submitter_id"]).select("state").first()
-            raw = f"raw/{g['submitter_id']}/{routed['file_type']}/{sid}"
-            self.meta.append("submission", [row | {"state": state[0] if state else None, "raw_prefix": raw}])
-            found = [o for o in self.store.list(f"{raw}/data")]
-            self.meta.append("submission_file", [{"submission_file_id": f"{sid}-{i}", "submission_id": sid, "raw_object_key": o["object_key"], "bytes": o["bytes"], "etag": o["etag"]} for i, o in enumerate(found)])
-            self.meta.replace("inbox_object", intake.claim(self.meta.read("inbox_object"), keys, "MOVED"))
-            objects = self.meta.read("inbox_object")
-            made.append(sid)
+            self.meta.append("submission", [row])
+            self._receive(row)
+            made.append(row["submission_id"])
         return made
 
+    def _inbox(self, fingerprint: str) -> intake.Inbox:
+        return intake.Inbox(self.store, lambda: fingerprint[:32])
+
+    def _receive(self, row: dict) -> None:
+        """Moves a recorded submission's objects and makes it ready; what of it is done already is not done again."""
+        sid, raw = row["submission_id"], row["raw_prefix"]
+        keys = self.spark.createDataFrame([(k,) for k in self._inbox(sid).move(raw)], "object_key string")
+        found = self.store.list(f"{raw}/data")
+        old = self.meta.read("submission_file").where(F.col("submission_id") != sid)
+        self.meta.replace("submission_file", old.unionByName(self.meta.rows("submission_file", [{"submission_file_id": f"{sid}-{i}", "submission_id": sid, "raw_object_key": o["object_key"], "bytes": o["bytes"], "etag": o["etag"]} for i, o in enumerate(found)])))
+        self.meta.replace("inbox_object", intake.claim(self.meta.read("inbox_object"), keys, "MOVED"))
+        self.meta.update("submission", {sid: {"status": "READY_FOR_PARSE" if row["layout_id"] else "NEEDS_REVIEW"}})
+
     def _each(self, job: str, table: str, id_column: str, statuses: tuple[str, ...], failed: str | None, batch: int, work: Callable[[dict, str], dict], done: DataFrame | None = None) -> list[str]:
-        """Runs `work` over due submissions: a run row for each, its error if it fails, and the submission's new status."""
+        """Runs `work` over due submissions: a run row for each, its error if it fails, and behind it the submission's new status."""
         out = []
-        for s in due(self.meta.read("submission"), statuses, done, batch).collect():  # at most a batch
+        runs = self.meta.read(table).where("status = 'FAILED'").select("submission_id")
+        for s in due(self.meta.read("submission"), statuses, done, batch, runs).collect():  # at most a batch
             s, run = s.asDict(), uuid.uuid4().hex
             started = self.now()
             entry = {id_column: run, "submission_id": s["submission_id"], "started_at": started}
             try:
-                status = {}
-                self.once(job, run_key(job, [s["submission_id"], s["status"]]), lambda s=s, run=run, status=status: status.update(work(s, run)))
+                status = work(s, run)
                 entry |= {"ended_at": self.now(), "status": "SUCCEEDED"} | status.pop("run", {})
             except Exception as e:  # noqa: BLE001 - recorded with its run
                 entry |= {"ended_at": self.now(), "status": "FAILED", "error": str(e)[:2000]}
@@ -161,6 +165,7 @@ class Jobs:
             self.meta.append(table, [entry])
             if status:
                 self.meta.update("submission", {s["submission_id"]: status})
+            self.meta.append("job_run", [{"run_key": run_key(job, [s["submission_id"], run]), "job": job, "done_at": self.now()}])
             out.append(s["submission_id"])
         return out
 
@@ -283,6 +288,6 @@ class Jobs:
 
 
 def every(spark: SparkSession, jobs: Jobs, checkpoint: str, seconds: int = 30):
-    """A streaming query whose trigger runs all jobs; its checkpoint and the run keys make a restart safe."""
+    """A streaming query whose trigger runs all jobs; each of them may be broken off and started again."""
     clock = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
     return clock.writeStream.foreachBatch(lambda _, __: jobs.tick()).option("checkpointLocation", checkpoint).trigger(processingTime=f"{seconds} seconds").start()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import re
 from collections.abc import Callable
 from dataclasses import dataclass, field
@@ -233,25 +234,41 @@ def upsert(current: DataFrame, given: DataFrame, identity: list[str], key: str)
 
 @dataclass
 class Inbox:
-    """Moves a closed group's objects to `raw/`, with a manifest, and says what submission it is."""
+    """Moves a closed group's objects to `raw/`, by a manifest that is written first, and says what submission it is.
+
+    What is half done is done by calling `move` again: an object is in its old place or in its new one.
+    """
 
     store: object
     new_id: Callable[[], str]
     conventions: Conventions = field(default_factory=default_conventions)
 
-    def process(self, submitter_id: str, prefix: str, keys: list[str], file_type: str, fingerprint: str, received_at: str) -> dict:
-        import json
-
+    def plan(self, submitter_id: str, prefix: str, keys: list[str], file_type: str, fingerprint: str, received_at: str) -> dict:
+        """Writes the manifest, and nothing else."""
         sid = self.new_id()
         raw = f"raw/{submitter_id}/{file_type}/{sid}"
         parsed = [self.conventions.parse(k.rsplit("/", 1)[-1]) for k in keys]
-        files = []
-        for k in keys:
-            to = f"{raw}/data/{k[len(prefix) :].lstrip('/')}"  # the path below the prefix: equal names don't collide
-            self.store.move(k, to)
-            files.append({"object_key": to, "from": k})
+        # the path below the prefix: equal names don't collide
+        files = [{"object_key": f"{raw}/data/{k[len(prefix) :].lstrip('/')}", "from": k} for k in keys]
         starts, ends = [p.start for p in parsed if p.start], [p.end for p in parsed if p.end]
         manifest = {"submission_id": sid, "submitter_id": submitter_id, "file_type": file_type, "files": files, "group_fingerprint": fingerprint, "received_at": received_at}
         body = json.dumps(manifest, sort_keys=True).encode()
         self.store.put(f"{raw}/manifest.generated.json", body)
         return manifest | {"manifest_sha256": hashlib.sha256(body).hexdigest(), "raw_prefix": raw, "coverage_start_month": min(starts, default=None), "coverage_end_month": max(ends, default=None)}
+
+    def move(self, raw: str) -> list[str]:
+        """Moves what the manifest names and is not moved yet; the objects' old keys."""
+        files = json.loads(self.store.get(f"{raw}/manifest.generated.json"))["files"]
+        for f in files:
+            if self.store.exists(f["from"]):
+                if self.store.exists(f["object_key"]):
+                    self.store.delete(f["object_key"])
+                self.store.move(f["from"], f["object_key"])
+            elif not self.store.exists(f["object_key"]):
+                raise FileNotFoundError(f["from"])
+        return [f["from"] for f in files]
+
+    def process(self, submitter_id: str, prefix: str, keys: list[str], file_type: str, fingerprint: str, received_at: str) -> dict:
+        out = self.plan(submitter_id, prefix, keys, file_type, fingerprint, received_at)
+        self.move(out["raw_prefix"])
+        return out

@@ -145,9 +145,17 @@ def run_key(prefix: str, parts: list[str], high_water: int | None = None) -> str
     return f"{prefix}:{hashlib.sha256(text.encode()).hexdigest()[:12]}"
 
 
-def due(submissions: DataFrame, status: tuple[str, ...], done: DataFrame | None = None, batch: int = 25) -> DataFrame:
-    """The oldest submissions in a state that no run in `done` has dealt with: newer ones can't starve if failures are runs too."""
+def due(submissions: DataFrame, status: tuple[str, ...], done: DataFrame | None = None, batch: int = 25, failed: DataFrame | None = None) -> DataFrame:
+    """The oldest submissions in a state that no run in `done` has dealt with.
+
+    Those with failed runs (`failed`: a submission_id for each) come behind all that have fewer, so that what fails again and
+    again keeps nothing newer waiting.
+    """
     out = submissions.where(F.col("status").isin(*status))
     if done is not None:
         out = out.join(done.select("submission_id").distinct(), "submission_id", "left_anti")
-    return out.orderBy("received_at", "submission_id").limit(batch)
+    order = ["received_at", "submission_id"]
+    if failed is not None:
+        out = out.join(failed.groupBy("submission_id").agg(F.count("*").alias("_tries")), "submission_id", "left")
+        order = [F.coalesce("_tries", F.lit(0)), *order]
+    return out.orderBy(*order).limit(batch).drop("_tries")

@@ -103,3 +103,42 @@ def test_metadata_store(spark, tmp_path):
     assert [(r["rule_id"], r["priority"]) for r in meta.read("submitter_file_config").collect()] == [(1, 5)]
     drivers.heartbeat(meta, now=lambda: T0)
     assert meta.read("heartbeat").count() == 1 and meta.store.get("health/engine.txt") == b"hello"
+
+
+@pytest.mark.parametrize(("what", "table", "nth"), [("append", "submission", 1), ("move", None, 2), ("update", "submission", 1), ("update", "submission", 2)])
+def test_broken_off_and_started_again(jobs, monkeypatch, what, table, nth):
+    """Whatever write fails, the next run of the jobs ends what was begun, once."""
+    for k in ("1", "2"):
+        jobs.store.put(f"inbox/u/d/medical_202501_20250{k}.csv", b"Id,START,CODE\na%s,2025-01-03,5\n" % k.encode())
+    jobs.store.put("inbox/u/d/_SUCCESS", b"")
+    owner = jobs.store if what == "move" else jobs.meta
+    real, calls = getattr(owner, what), []
+
+    def failing(*args):
+        if table is None or args[0] == table:
+            calls.append(args)
+            if len(calls) == nth:
+                raise RuntimeError("power cut")
+        return real(*args)
+
+    monkeypatch.setattr(owner, what, failing)
+    with pytest.raises(RuntimeError, match="power cut"):
+        jobs.sweep()
+        jobs.parse_due()
+    monkeypatch.setattr(owner, what, real)
+    jobs.sweep()
+    jobs.parse_due()
+    assert list(statuses(jobs).values()) == ["PARSED"]
+    assert len(jobs.meta.read("submission_file").collect()) == 2 and not [o for o in jobs.store.list("inbox") if o["object_key"].endswith(".csv")]
+    assert {r["status"] for r in jobs.meta.read("inbox_object").where("object_key LIKE '%.csv'").collect()} == {"MOVED"}
+    (folder,) = {r["silver_prefix"] for r in jobs.meta.read("parse_run").where("status = 'SUCCEEDED'").collect()}
+    assert sorted(r["Id"] for r in jobs.spark.read.parquet(folder).collect()) == ["a1", "a2"]
+
+
+def test_failures_keep_nothing_waiting(jobs):
+    """With a batch of two and no rule set for their type, the third submission is tried on the second tick."""
+    rows = [{"submission_id": f"s{i}", "submitter_id": "u", "file_type": "other", "status": "PARSED", "received_at": T0 + timedelta(minutes=i)} for i in range(3)]
+    jobs.meta.append("submission", rows)
+    assert jobs.validate_due(2) == ["s0", "s1"]
+    assert "s2" in jobs.validate_due(2)
+    assert {r["submission_id"] for r in jobs.meta.read("validation_run").where("status = 'FAILED'").collect()} == {"s0", "s1", "s2"}
