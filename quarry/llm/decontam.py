@@ -103,6 +103,10 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that contain no item of `benchmark`."""
+    """Documents that contain no item of `benchmark`.
+
+    Null, empty and blank texts contain none and stay, as do rows with a null id; equal rows share their fate, and rows of
+    one id go together if one of their texts contains an item. An empty table stays empty, and an empty benchmark takes nothing away.
+    """
     found = common.materialise(find(docs, common.table(spark, sf_dir, "benchmark")).select("doc_id").distinct(), "contaminated")
     return docs.join(F.broadcast(found) if found.count() <= 1_000_000 else found, "doc_id", "left_anti").select(*docs.columns)

@@ -159,7 +159,11 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage_language_id(spark: SparkSession, docs: DataFrame, sf_dir: str, least: float = 0.5) -> DataFrame:
-    """Keeps documents with a recognised language: not `und`, and with a posterior of at least `least`."""
+    """Keeps documents with a recognised language: not `und`, and with a posterior of at least `least`.
+
+    Null texts and those without a letter go; equal rows go or stay together; null languages are not learnt from, and
+    without any to learn from no document is recognised. An empty table stays empty.
+    """
     common.bound_batches(spark)
     model = fit(docs.select("doc_id", "text", "lang"))
     columns = docs.columns

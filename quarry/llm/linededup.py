@@ -87,7 +87,11 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str, ratio: float = 0.08, min_pa
 
 
 def stage_line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str, ratio: float = 0.08, min_pages: int = 5) -> DataFrame:
-    """Documents, whose host is their source, without boilerplate lines; n_chars follows the text."""
+    """Documents, whose host is their source, without boilerplate lines; n_chars follows the text.
+
+    No row goes: a text of nothing but boilerplate is empty, a null text stays null. A null source is a host like others,
+    equal rows count as pages of their own, and an empty table stays empty.
+    """
     out = drop_lines(docs, F.col("source"), "text", ratio, min_pages)
     return out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 

@@ -295,5 +295,9 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage_best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The last stage: where each piece of the kept documents goes."""
+    """The last stage: where each piece of the kept documents goes.
+
+    Null and empty texts are one token, the end. Repeated ids and equal rows are packed as rows of their own, null ids too.
+    An empty table packs to no piece.
+    """
     return pack_documents(docs)

@@ -49,6 +49,53 @@ def test_language_matches_brute_force(spark, docs):
         assert best[i] == p.argmax() and score[i] == pytest.approx(p.max() / p.sum(), rel=1e-4)
 
 
+def plain_statistics(text):
+    """The features of a text, counted one by one."""
+    import re
+
+    raw = text.encode()
+    words = [w.lower() if w.isascii() else "".join(c.lower() if c.isascii() else c for c in w) for w in re.findall(r"[^\x20\x09-\x0D]+", text)]
+    length = [len(w.encode()) for w in words]
+    upper, lower = (sum(a <= b <= z for b in raw) for a, z in ((65, 90), (97, 122)))
+    of = lambda chars: sum(b in chars for b in raw)
+    share = lambda x, n: np.log((x + 0.25) / (n - x + 0.75))
+    mean = sum(length) / max(1, len(words))
+    spread = max(0.0, sum(n * n for n in length) / max(1, len(words)) - mean**2) ** 0.5
+    runs = len({tuple(words[i : i + 3]) for i in range(len(words) - 2)}) if len(words) > 2 else min(1, len(words))
+    return [
+        np.log1p(len(raw)), np.log1p(len(words)), np.log1p(mean), np.log1p(spread), np.log1p(max(length, default=0)),
+        share(upper, upper + lower), share(of(b"0123456789"), len(raw)), share(of(b"#$%&*+/<=>@[\\]^_`{|}~"), len(raw)), share(of(b"!?"), len(raw)), share(of(b".,;:"), len(raw)),
+        share(of(b"\n"), len(raw)), share(sum(b > 127 for b in raw), len(raw)), share(sum(n <= 3 for n in length), len(words)), share(len(set(words)), len(words)), share(runs, max(len(words) - 2, 1)),
+        share(max((words.count(w) for w in set(words)), default=0), len(words)),
+    ]
+
+
+def test_quality_equals_brute_force(spark, docs, prose):
+    """Statistics counted one by one; densities with covariances inverted whole; the calibration's gradient is zero."""
+    rng = np.random.default_rng(5)
+    texts = ["", None, "One, TWO three!", "é中 a\n\nb 12 <x>", "same same same Same"] + [prose(int(rng.integers(3, 60))) + ("!!! $$$ 123 " * int(rng.integers(0, 9)) if i % 3 == 0 else ".") for i in range(60)]
+    labelled = docs(texts).select("text", (F.col("doc_id") % 3 == 0).cast("int").alias("label"))
+    model = quality.fit(labelled)
+    x = np.array([plain_statistics(t or "") for t in texts])
+    y = np.array([int(i % 3 == 0) for i in range(len(texts))])
+    z = (x - x.mean(0)) / (x.std(0) + 1e-6)
+    k = x.shape[1]
+    own = [np.cov(z[y == c].T, bias=True) for c in (0, 1)]
+    pooled = sum(own[c] * (y == c).mean() for c in (0, 1))
+    raw = np.zeros(len(z))
+    for c, sign in ((0, -1), (1, 1)):
+        s = 0.75 * own[c] + 0.2 * pooled + 0.05 * (np.trace(own[c]) / k + 0.1) * np.eye(k)
+        d = z - z[y == c].mean(0)
+        raw += sign * (-0.5 * (d @ np.linalg.inv(s) * d).sum(1) - 0.5 * np.linalg.slogdet(s)[1])
+    d = np.sign(raw) * np.log1p(np.abs(raw))
+    want = 1 / (1 + np.exp(-(model.slope * d + model.intercept)))
+    got = [r["score"] for r in quality.classify(docs(texts), model).orderBy("doc_id").collect()]
+    assert got == pytest.approx(want.tolist(), abs=1e-6)
+    beta = np.array([model.slope, model.intercept])
+    gradient = np.stack([d, np.ones(len(d))], 1).T @ (y - want) - 1e-3 * beta
+    assert np.abs(gradient).max() < 1e-3
+
+
 def test_odd_texts(spark, odd, docs, prose):
     df = docs([prose(30) for _ in range(6)])
     model = langid.fit(df)
