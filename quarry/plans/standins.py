@@ -37,15 +37,44 @@ TABLES = {
 SOURCES = ("orders", "lineitem", "events")
 
 
-def load(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    sources = {n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in SOURCES}
-    out = {}
-    for name, sql in TABLES.items():
-        used = {n: df for n, df in sources.items() if f"FROM {n}" in sql}
+class Tables(dict):
+    """The tables by name, each made when it is first asked for; all of them if all are asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        super().__init__()
+        self._spark, self._sf_dir, self._sources = spark, sf_dir, {}
+
+    def _source(self, name: str) -> DataFrame:
+        if name not in self._sources:
+            self._sources[name] = self._spark.read.parquet(f"{self._sf_dir}/{name}.parquet")
+        return self._sources[name]
+
+    def __missing__(self, name: str) -> DataFrame:
+        sql = TABLES[name]
+        used = {n: self._source(n) for n in SOURCES if f"FROM {n}" in sql}
         for n in used:
             sql = sql.replace(f"FROM {n}", f"FROM {{{n}}}")
-        out[name] = spark.sql(sql, **used)
-    return out
+        self[name] = self._spark.sql(sql, **used)
+        return self[name]
+
+    def _all(self) -> dict[str, DataFrame]:
+        return {n: self[n] for n in TABLES}
+
+    def items(self):
+        return self._all().items()
+
+    def values(self):
+        return self._all().values()
+
+    def __iter__(self):
+        return iter(TABLES)
+
+    def __len__(self) -> int:
+        return len(TABLES)
+
+
+def load(spark: SparkSession, sf_dir: str) -> Tables:
+    return Tables(spark, sf_dir)
 
 
 def ctes(*names: str) -> str:
