@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.operators.latest import latest_per_key, natural_version
-from quarry.sources.files import ObjectStore
+from quarry.sources.files import ObjectStore, replace_months
 from quarry.sources.layouts import CanonicalSchema
 
 #: Canonical type names and what they are in Spark.
@@ -152,8 +152,8 @@ def build_month(spark: SparkSession, out: str, state: str, file_type: str, month
         frames = [_class_frame(spark, [p for p, _ in members], [w for _, w in members], state, file_type, month, schema, now) for members in classes.values()]
         seen = Observation()
         union = reduce(DataFrame.unionByName, frames).observe(seen, F.count("*").alias("rows"))
-        union.hint("rebalance").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("atomic_month").parquet(out)
+        replace_months(union.hint("rebalance"), out, [month])
         rows = seen.get["rows"]
-    if not rows:  # the write replaced nothing
+    else:
         ObjectStore(spark, out).delete(f"atomic_month={month}")
     return BuildResult("SUCCEEDED", mark, rows)

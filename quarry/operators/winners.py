@@ -8,7 +8,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.functions.exprs import UNKNOWN_MONTH
+from quarry.sources.files import replace_months
 
 
 def winner_time(validation_ended: Column, received: Column, created: Column) -> Column:
@@ -121,9 +121,7 @@ def overwrite_months(silver: DataFrame, out: str, months: list[str] | None, subm
     have = {c.lower() for c in silver.columns}
     lineage = {"submitter_id": F.lit(submitter_id), "state": F.lit(state or "__unknown__"), "file_type": F.lit(file_type), "atomic_month": F.lit(months[0] if months and len(months) == 1 else "__all__")}
     df = silver.withColumns({k: v for k, v in lineage.items() if k not in have}).withColumn("gold_built_at", now)
-    if months and months != ["__all__"]:
-        df = df.where(F.col("atomic_month").isin(months))
-        there = {r[0] for r in df.select("atomic_month").distinct().collect()}
-        if missing := sorted(set(months) - there):
-            raise ValueError(f"no rows for {', '.join(missing)}")
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("atomic_month").parquet(out)
+    named = months if months and months != ["__all__"] else None
+    if named:
+        df = df.where(F.col("atomic_month").isin(named))
+    replace_months(df, out, named, required=True)

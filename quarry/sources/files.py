@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import csv
 import io
+import uuid
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -79,6 +80,36 @@ def discover_months(df: DataFrame) -> list[str]:
     return sorted(r[0] for r in df.select("atomic_month").distinct().collect())
 
 
+def replace_months(df: DataFrame, out: str, months: list[str] | None = None, required: bool = False) -> set[str]:
+    """Months of a month-partitioned table get the rows of `df`, others stay; the months that were written.
+
+    Rows are written to a hidden folder below `out`, and then whole months change places by renaming: a reader sees the old
+    month or the new one, never parts of either. A named month without rows is emptied, or with `required` an error that
+    changes nothing. What an interrupted call had set aside is put back first.
+    """
+    store, mark = ObjectStore(df.sparkSession, out), uuid.uuid4().hex
+    stage, old = f"_staged-{mark}", f"_replaced-{mark}"
+    for kept in (f for f in store.folders() if f.startswith("_replaced-")):
+        for part in store.folders(kept):
+            if not store.exists(part):
+                store.move(f"{kept}/{part}", part)
+        store.delete(kept)
+    df.write.partitionBy("atomic_month").parquet(f"{out}/{stage}")
+    new = {unquote(f.partition("=")[2]): f for f in store.folders(stage) if f.startswith("atomic_month=")}
+    if required and (missing := sorted(set(months or []) - set(new))):
+        store.delete(stage)
+        raise ValueError(f"no rows for {', '.join(missing)}")
+    gone = {f"atomic_month={m}" for m in set(months or []) - set(new)}
+    for part in sorted({*new.values(), *gone}):
+        if store.exists(part):
+            store.move(part, f"{old}/{part}")
+        if part not in gone:
+            store.move(f"{stage}/{part}", part)
+    store.delete(old)
+    store.delete(stage)
+    return set(new)
+
+
 class ObjectStore:
     """List, stat, copy, move, delete, put and get of objects under a root."""
 
@@ -104,6 +135,11 @@ class ObjectStore:
                 found.append({"object_key": key, "bytes": s.getLen(), "etag": f"{s.getModificationTime():x}-{s.getLen():x}", "last_modified_ms": s.getModificationTime()})
         return sorted(found, key=lambda x: x["object_key"])
 
+    def folders(self, prefix: str = "") -> list[str]:
+        """Names of the folders right below a prefix."""
+        base = self._path(prefix)
+        return sorted(s.getPath().getName() for s in self._fs.listStatus(base) if s.isDirectory()) if self._fs.exists(base) else []
+
     def exists(self, key: str) -> bool:
         return self._fs.exists(self._path(key))
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from quarry.operators import canonical, winners
 from quarry.operators.latest import latest_per_key, natural_version
+from quarry.sources import files
 from quarry.sources.layouts import CanonicalColumn, CanonicalSchema
 
 KEYS = ["state", "file_type", "submitter_id", "atomic_month"]
@@ -87,6 +88,33 @@ def test_gold_overwrite_replaces_one_month(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "whole")).first()["atomic_month"] == "__all__"
 
 
+def test_months_change_places(spark, tmp_path, monkeypatch):
+    """Whole months are renamed; what an interrupted call set aside is put back by the next one."""
+    out = str(tmp_path / "t")
+    of = lambda *rows: spark.createDataFrame(rows, "v string, atomic_month string")
+    seen = lambda: {(r["v"], r["atomic_month"]) for r in spark.read.parquet(out).collect()}
+    assert files.replace_months(of(("a", "2025-01"), ("b", "2025-02"), ("c", "a b/c")), out) == {"2025-01", "2025-02", "a b/c"}
+    files.replace_months(of(("d", "2025-02")), out, ["2025-01", "2025-02"])
+    assert seen() == {("d", "2025-02"), ("c", "a b/c")}
+    move = files.ObjectStore.move
+
+    def fails(self, key, to):
+        if key.startswith("_staged"):
+            raise OSError("power cut")
+        move(self, key, to)
+
+    monkeypatch.setattr(files.ObjectStore, "move", fails)
+    with pytest.raises(OSError, match="power cut"):
+        files.replace_months(of(("e", "2025-02")), out)
+    assert seen() == {("c", "a b/c")}  # between the two renames
+    monkeypatch.undo()
+    files.replace_months(of(("f", "2025-03")), out)
+    assert seen() == {("d", "2025-02"), ("c", "a b/c"), ("f", "2025-03")}
+    with pytest.raises(ValueError, match="2025-09"):
+        files.replace_months(of(("g", "2025-03")), out, ["2025-03", "2025-09"], required=True)
+    assert ("f", "2025-03") in seen()
+
+
 SCHEMA = CanonicalSchema("medical/v1", "medical", "v1", (CanonicalColumn("member_id", "TEXT", True), CanonicalColumn("provider_id"), CanonicalColumn("start", "DATE", True)))
 
 
