@@ -26,7 +26,19 @@ from pyspark.sql import functions as F
 from quarry.llm import common
 from quarry.llm.graph import components
 
-TABLES, PLANES = 30, 18
+#: Tables and planes up to `MANY` vectors; a plane more for each doubling beyond keeps buckets small.
+TABLES, PLANES, MANY = 30, 18, 1 << 20
+
+
+def sized(n: int, least: float) -> tuple[int, int]:
+    """Tables and planes for n vectors: with more planes a pair meets in a table less often, so there are more tables.
+
+    A pair at cosine `least` is missed with a probability of about 2e-5, whatever n.
+    """
+    bits = PLANES + max(0, int(np.ceil(np.log2(max(1, n) / MANY))))
+    meets = lambda b: (1 - np.arccos(least) / np.pi) ** b
+    miss = (1 - meets(PLANES)) ** TABLES
+    return (TABLES if bits == PLANES else int(np.ceil(np.log(miss) / np.log1p(-meets(bits))))), bits
 
 
 def planes(dimension: int, tables: int, bits: int, seed: int = 20240607) -> np.ndarray:
@@ -36,7 +48,8 @@ def planes(dimension: int, tables: int, bits: int, seed: int = 20240607) -> np.n
 def signatures(x: np.ndarray, tables: int, bits: int) -> np.ndarray:
     """An integer for each vector and table."""
     sign = (x @ planes(x.shape[1], tables, bits) > 0).reshape(len(x), tables, bits)
-    return (sign * (1 << np.arange(bits, dtype=np.int64))).sum(2).astype(np.int32)
+    value = (sign * (1 << np.arange(bits, dtype=np.int64))).sum(2)
+    return (value if bits < 32 else (value ^ (value >> 31)) & 0x7FFFFFFF).astype(np.int32)  # two buckets in one do no harm
 
 
 def scaled(x: np.ndarray) -> np.ndarray:
@@ -128,8 +141,11 @@ def _compare(least: float, tables: int):
 
 
 def link(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", label: str = "label", least: float = 0.98,
-         tables: int = TABLES, bits: int = PLANES, block: int = 1000) -> DataFrame:
-    """(key, n_links, component_id, kept) for every row; `kept` marks the smallest id of a component."""
+         tables: int | None = None, bits: int | None = None, block: int = 1000) -> DataFrame:
+    """(key, n_links, component_id, kept) for every row; `kept` marks the smallest id of a component.
+
+    Tables and planes are those of `sized` for the number of distinct vectors, unless given.
+    """
     spark = vectors.sparkSession
     common.bound_batches(spark)
     given = vectors.select(F.col(key).alias("id"), F.col(vector).alias("v"), F.col(label).alias("label"))
@@ -141,6 +157,9 @@ def link(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", lab
     usable = given.where("fit").select("id", "label", F.transform("v", lambda x: F.when(x == 0, F.lit(0).cast(element)).otherwise(x)).alias("v"))
     classes = usable.groupBy("label", "v").agg(F.min("id").alias("rep"), F.count("*").alias("n"))
     classes = common.materialise(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
+    if tables is None or bits is None:
+        many = sized(classes.count(), least)
+        tables, bits = tables or many[0], bits or many[1]
 
     def sign(batches):
         for part in batches:

@@ -319,3 +319,12 @@ def test_materialised_files_are_in_the_shared_folder(spark, tmp_path, monkeypatc
     assert df.count() == 3 and list(tmp_path.glob("quarry/*"))
     common.discard(df)
     assert not list(tmp_path.glob("quarry/*"))
+
+
+def test_planes_grow_with_the_vectors():
+    """Buckets stay small, and the chance that a pair is missed stays what it is."""
+    miss = lambda t, b: (1 - (1 - math.acos(0.98) / math.pi) ** b) ** t
+    assert embeddings.sized(0, 0.98) == embeddings.sized(1 << 20, 0.98) == (30, 18)
+    for n in (1 << 21, 10**9, 10**11):
+        tables, bits = embeddings.sized(n, 0.98)
+        assert n / 2**bits <= 4 and miss(tables, bits) <= miss(30, 18)
