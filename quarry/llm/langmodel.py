@@ -48,9 +48,21 @@ def _lgamma(x: np.ndarray) -> np.ndarray:
     return (low - 0.5) * np.log(low) - low + 0.9189385332046727 + (1 / 12 - z * (1 / 360 - z * (1 / 1260 - z / 1680))) / low - shift
 
 
+_HALVES, _WHOLES = _lgamma(np.arange(1 << 12) + 0.5), _lgamma(np.arange(1 << 12) + 1.0)
+
+
+def _looked_up(counts: np.ndarray, table: np.ndarray, more: float) -> np.ndarray:
+    """lgamma(counts + more) of whole counts; nearly all are small, and stand in the table."""
+    at = counts.astype(np.int64)
+    out = table[np.minimum(at, len(table) - 1)]
+    large = np.flatnonzero(at >= len(table))
+    out[large] = _lgamma(counts[large] + more)
+    return out
+
+
 def _kt(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """log of the Krichevsky-Trofimov block probability of a zeros and b ones."""
-    return _lgamma(a + 0.5) + _lgamma(b + 0.5) - _lgamma(a + b + 1.0) - np.log(np.pi)
+    return _looked_up(a, _HALVES, 0.5) + _looked_up(b, _HALVES, 0.5) - _looked_up(a + b, _WHOLES, 1.0) - np.log(np.pi)
 
 
 def normal_bytes(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -119,14 +131,15 @@ class TreeModel:
         for level in range(8):
             node = (1 << level) | (symbol >> (8 - level))
             bit = (symbol >> (7 - level)) & 1
-            one = np.full(len(codes), 0.5)
-            for d in range(self.depth + 1):
+            one, todo = np.full(len(codes), 0.5), np.arange(len(codes))
+            for d in range(self.depth, -1, -1):  # the deepest node on the path counts
                 keys = self.keys[d]
-                if len(keys):
-                    key = node_key(context, d, node)
+                if len(keys) and len(todo):
+                    key = node_key(context[todo], d, node[todo])
                     at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
                     hit = keys[at] == key
-                    one[hit] = self.ones[d][at[hit]]
+                    one[todo[hit]] = self.ones[d][at[hit]]
+                    todo = todo[~hit]
             total += np.log10(np.where(bit == 1, one, 1 - one))
         return total
 
@@ -138,18 +151,24 @@ def node_key(context: np.ndarray, depth: int, node: np.ndarray) -> np.ndarray:
 
 
 def _nodes(codes: np.ndarray, counts: np.ndarray, d: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sorted keys of the decision nodes in contexts of d bytes, and their counts of zeros and ones."""
+    """Sorted keys of the decision nodes in contexts of d bytes, and their counts of zeros and ones; codes are sorted.
+
+    A level's keys rise with the codes, so its nodes are runs, and eight sorted levels are merged at the end.
+    """
+    if not len(codes):
+        return np.zeros(0, np.uint64), np.zeros(0), np.zeros(0)
     symbol, context = (codes & np.uint64(255)).astype(np.int64), codes >> np.uint64(8)
     parts, a, b = [], [], []
     for level in range(8):
         key = node_key(context, d, (1 << level) | (symbol >> (8 - level)))
         bit = (symbol >> (7 - level)) & 1
-        unique, inverse = np.unique(key, return_inverse=True)
-        parts.append(unique)
-        b.append(np.bincount(inverse, weights=counts * bit, minlength=len(unique)))
-        a.append(np.bincount(inverse, weights=counts * (1 - bit), minlength=len(unique)))
+        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        whole, ones = np.add.reduceat(counts, first), np.add.reduceat(counts * bit, first)
+        parts.append(key[first])
+        b.append(ones)
+        a.append(whole - ones)
     key = np.concatenate(parts)
-    order = np.argsort(key)
+    order = np.argsort(key, kind="stable")
     return key[order], np.concatenate(a)[order], np.concatenate(b)[order]
 
 
@@ -168,6 +187,7 @@ class Part:
     ones: list[np.ndarray]
     weighted: list[np.ndarray]
     share: list[np.ndarray]
+    up: list[np.ndarray]  # places of the parents, a depth higher
 
     def mixed(self, gathered: np.ndarray, left: np.ndarray) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
         """Top-down: probabilities of a one at each depth, and what the last depth has gathered and leaves.
@@ -177,8 +197,7 @@ class Part:
         final, g, m = [], gathered, left
         for d, keys in enumerate(self.keys):
             if d:
-                at = np.searchsorted(self.keys[d - 1], _parents(keys, self.first + d))
-                g, m = g[at], m[at]
+                g, m = g[self.up[d]], m[self.up[d]]
             estimate = (self.ones[d] + 0.5) / (self.zeros[d] + self.ones[d] + 1.0)
             final.append((g + m * estimate).astype(np.float32))
             g, m = g + m * self.share[d] * estimate, m * (1 - self.share[d])
@@ -191,7 +210,7 @@ def part(codes: np.ndarray, counts: np.ndarray, first: int, last: int, below: np
     `below` has the children's weights for each node of depth `last`, in the order of keys; None: the tree ends there.
     """
     n = last - first + 1
-    keys, zeros, ones, weighted, share = ([None] * n for _ in range(5))
+    keys, zeros, ones, weighted, share, up = ([None] * n for _ in range(6))
     for d in range(last, first - 1, -1):
         codes, inverse = np.unique(codes & np.uint64((1 << (8 * (d + 1))) - 1), return_inverse=True)
         counts = np.bincount(inverse, weights=counts, minlength=len(codes))
@@ -199,14 +218,14 @@ def part(codes: np.ndarray, counts: np.ndarray, first: int, last: int, below: np
         keys[at], zeros[at], ones[at] = _nodes(codes, counts, d)
         own = _kt(zeros[at], ones[at])
         if d < last:
-            place = np.searchsorted(keys[at], _parents(keys[at + 1], d + 1))
-            below = np.bincount(place, weights=weighted[at + 1], minlength=len(own))
+            up[at + 1] = np.searchsorted(keys[at], _parents(keys[at + 1], d + 1))
+            below = np.bincount(up[at + 1], weights=weighted[at + 1], minlength=len(own))
         if below is None:
             weighted[at], share[at] = own, np.ones(len(own))
         else:
             weighted[at] = np.logaddexp(own, below) - np.log(2)
             share[at] = np.exp(np.log(0.5) + own - weighted[at])
-    return Part(first, keys, zeros, ones, weighted, share)
+    return Part(first, keys, zeros, ones, weighted, share, up)
 
 
 def build(levels: list[tuple[np.ndarray, np.ndarray]], known: int) -> TreeModel:
@@ -342,7 +361,7 @@ class WordCounts:
     counts: np.ndarray
 
 
-def score(docs: DataFrame, training: DataFrame | Column, key: str = "doc_id", text: str = "text", depth: int = 5, most: int = 2_000_000, most_words: int = 1_000_000) -> DataFrame:
+def score(docs: DataFrame, training: DataFrame | Column, key: str = "doc_id", text: str = "text", depth: int = 6, most: int = 2_000_000, most_words: int = 1_000_000) -> DataFrame:
     """(key, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte) for each row of `docs`.
 
     `score` is the log10 probability of the text, and `bits_per_byte` its code length over the bytes of its normal form.
