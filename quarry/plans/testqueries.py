@@ -365,7 +365,7 @@ def marker_quiescence(spark, sf_dir):
     return intake.closed_groups(objects, F.expr("TIMESTAMP_NTZ '2024-01-20 00:00:00'")).select("object_key", "submitter_id", "grouping_method")
 
 
-@query()
+@query("SELECT strftime(o_orderdate, '%Y-%m') AS atomic_month, count(*) AS n FROM orders WHERE strftime(o_orderdate, '%Y-%m') = '1996-04' OR (strftime(o_orderdate, '%Y-%m') = '1996-03' AND o_orderkey % 2 = 0) GROUP BY 1")
 def partition_roundtrip(spark, sf_dir):
     """Writes months, replaces one, and reads one back with its partition filter."""
     import uuid
@@ -414,6 +414,69 @@ def csv_multiline(spark, sf_dir):
     return type_columns(scan_csv(spark, [path], NOTES), NOTES).where(F.col(CORRUPT).isNull() & ~F.col("_row_rejected")).select("EVENT", "NOTE", "VALUE")
 
 
+_RULES = "(1, '*', 'medical', 'medical_', 'csv', 'W', 100), (2, '*', 'pharmacy', '(?i)pharm.*_2024', NULL, 'P', 100), (3, 'u1', 'medical', NULL, 'CSV', 'OWN', 10), (4, 'u2', 'notes', 'notes_20240?[1-6]', NULL, 'N', 5), (5, '*', 'any', NULL, NULL, 'ANY', 500), (6, 'u3', 'medical', 'medical-|Pharmacy_', 'gz', 'X', 1)"
+_FILE = "CASE p_partkey % 4 WHEN 0 THEN 'medical_2024' WHEN 1 THEN 'Pharmacy_2024' WHEN 2 THEN 'notes_2024' ELSE 'medical-2024' END || lpad(CAST(1 + p_size % 12 AS {t}), 2, '0') || '.' || CASE WHEN p_size % 2 = 0 THEN 'csv' ELSE 'tar.GZ' END"
+
+
+@query(f"WITH r(rule_id, rs, rt, pattern, extension, rl, priority) AS (VALUES {_RULES}), f AS (SELECT p_partkey, 'u' || CAST(p_partkey % 5 AS VARCHAR) AS submitter_id, {_FILE.format(t='VARCHAR')} AS filename FROM part) SELECT p_partkey AS group_id, rule_id, rs = submitter_id AS own FROM f JOIN r ON (rs = submitter_id OR rs = '*') AND (extension IS NULL OR suffix(lower(filename), '.' || lower(extension))) AND (pattern IS NULL OR regexp_matches(filename, '^(?:' || pattern || ')'))")
+def routing_matches(spark, sf_dir):
+    """Files and the rules that match them, by the index of rules."""
+    rules_ = spark.sql(f"SELECT * FROM VALUES {_RULES} AS r(rule_id, rs, rt, pattern, extension, rl, priority)")
+    files = read(spark, sf_dir, "part").select(F.col("p_partkey").alias("group_id"), F.concat(F.lit("u"), (F.col("p_partkey") % 5).cast("string")).alias("submitter_id"), F.expr(_FILE.format(t="STRING")).alias("filename"))
+    return intake._matching(files, rules_).select("group_id", "rule_id", (F.col("rs") == F.col("submitter_id")).alias("own"))
+
+
+_MAPPINGS = "('L0', 'C', 'm1', 'v2', '{}', 'ACTIVE'), ('L0', 'C', 'm2', 'v10', '{}', 'ACTIVE'), ('L0', 'C', 'm3', 'v11', '{}', 'OLD'), ('L1', 'C', 'm4', 'v1', '{}', 'ACTIVE'), ('L2', 'D', 'm5', 'v3', '{}', 'ACTIVE'), ('L2', 'C', 'm6', 'v9', '{}', 'ACTIVE')"
+
+
+@query(f"{standins.ctes('submission', 'submitter_month_pointer')}, m(layout_id, canonical_schema_id, mapping_id, mapping_version, mapping_json, status) AS (VALUES {_MAPPINGS}), newest AS (SELECT * FROM m WHERE status = 'ACTIVE' QUALIFY row_number() OVER (PARTITION BY layout_id, canonical_schema_id ORDER BY CAST(substr(mapping_version, 2) AS INTEGER) DESC) = 1) SELECT p.state, p.file_type, p.submitter_id, p.atomic_month, p.winning_submission_id, s.layout_id, n.canonical_schema_id, n.mapping_id, n.mapping_version FROM submitter_month_pointer p JOIN submission s ON s.submission_id = p.winning_submission_id JOIN newest n ON n.layout_id = s.layout_id")
+def winner_mappings(spark, sf_dir):
+    """Each month's winners with their layout and the newest active mapping of it, versions by number."""
+    t = standins.load(spark, sf_dir)
+    mappings = spark.sql(f"SELECT *, current_timestamp() AS created_at FROM VALUES {_MAPPINGS} AS m(layout_id, canonical_schema_id, mapping_id, mapping_version, mapping_json, status)")
+    return canonical.winners_with_mappings(t["submitter_month_pointer"], t["submission"], mappings).select("state", "file_type", "submitter_id", "atomic_month", "winning_submission_id", "layout_id", "canonical_schema_id", "mapping_id", "mapping_version")
+
+
+@query("SELECT coalesce(a.k, b.k) AS k, coalesce(a.name, b.name) AS name, CASE WHEN b.k IS NOT NULL THEN b.balance ELSE a.balance END AS balance FROM (SELECT c_custkey AS k, c_name AS name, c_acctbal AS balance FROM customer WHERE c_custkey % 3 <> 0) a FULL JOIN (SELECT c_custkey + 1000000 AS k, c_name AS name, -c_acctbal AS balance FROM customer WHERE c_custkey % 2 = 0) b ON a.name = b.name")
+def registry_upsert(spark, sf_dir):
+    """Definitions by name: those that are there keep their key and take the new values."""
+    c = read(spark, sf_dir, "customer")
+    now = c.where("c_custkey % 3 <> 0").select(F.col("c_custkey").alias("k"), F.col("c_name").alias("name"), F.col("c_acctbal").alias("balance"))
+    new = c.where("c_custkey % 2 = 0").select((F.col("c_custkey") + 1000000).alias("k"), F.col("c_name").alias("name"), (-F.col("c_acctbal")).alias("balance"))
+    return intake.upsert(now, new, ["name"], "k")
+
+
+_FOLDER = "'inbox/' || p_brand || '/d' || CAST(p_size AS {t})"
+
+
+@query(f"WITH o AS (SELECT {_FOLDER.format(t='VARCHAR')} AS inbox_prefix, {_FOLDER.format(t='VARCHAR')} || '/' || CAST(p_partkey AS VARCHAR) || '.csv' AS object_key, p_partkey AS bytes, CASE WHEN p_partkey % 9 > 0 THEN 'e' || CAST(p_partkey AS VARCHAR) END AS etag FROM part), g AS (SELECT inbox_prefix, count(*) AS objects, sha256(inbox_prefix || '|' || string_agg(object_key || ':' || CAST(bytes AS VARCHAR) || ':' || coalesce(etag, ''), '|' ORDER BY object_key)) AS fingerprint FROM o GROUP BY 1) SELECT * FROM g WHERE fingerprint NOT IN (SELECT fingerprint FROM g WHERE suffix(inbox_prefix, '7'))")
+def new_groups(spark, sf_dir):
+    """Closed groups by a fingerprint of their files, without those that a submission has."""
+    part = read(spark, sf_dir, "part")
+    folder = F.expr(_FOLDER.format(t="STRING"))
+    objects = part.select(F.concat(folder, F.lit("/"), F.col("p_partkey").cast("string"), F.lit(".csv")).alias("object_key"), F.col("p_partkey").alias("bytes"), F.when(F.col("p_partkey") % 9 > 0, F.concat(F.lit("e"), F.col("p_partkey").cast("string"))).alias("etag"))
+    groups = objects.select("object_key", F.get(F.split("object_key", "/"), F.lit(1)).alias("submitter_id"), F.regexp_replace("object_key", "/[^/]*$", "").alias("inbox_prefix"), F.lit("MARKER").alias("grouping_method"))
+    marked = intake.group_fingerprint(groups, objects)
+    known = marked.where(F.col("inbox_prefix").endswith("7")).select(F.col("fingerprint").alias("group_fingerprint"))
+    return intake.new_groups(marked, known).select("inbox_prefix", F.size("object_keys").cast("long").alias("objects"), "fingerprint")
+
+
+_WHEN = "CASE event_id % 5 WHEN 0 THEN substr(CAST(ts AS {t}), 1, 19) WHEN 1 THEN replace(substr(CAST(ts AS {t}), 1, 19), ' ', 'T') WHEN 2 THEN substr(CAST(ts AS {t}), 1, 10) WHEN 3 THEN 'on ' || substr(CAST(ts AS {t}), 1, 10) ELSE '2024-02-3' || CAST(event_id % 10 AS {t}) END"
+
+
+@query(f"SELECT event_id, try_cast({_WHEN.format(t='VARCHAR')} AS TIMESTAMP) AS at FROM events")
+def iso_timestamps(spark, sf_dir):
+    """Text as a time without a format; what is no date is null."""
+    return read(spark, sf_dir, "events").select("event_id", exprs.to_timestamp(F.expr(_WHEN.format(t="STRING"))).alias("at"))
+
+
+@query(f"{standins.ctes('canonical_rebuild_queue')}, done AS (SELECT state, file_type, atomic_month FROM (SELECT * FROM canonical_rebuild_queue WHERE processed_at IS NULL ORDER BY enqueued_at, queue_id LIMIT 250) GROUP BY ALL) SELECT q.queue_id, q.processed_at IS NOT NULL OR d.state IS NOT NULL AS processed FROM canonical_rebuild_queue q LEFT JOIN done d ON d.state = q.state AND d.file_type = q.file_type AND d.atomic_month = q.atomic_month")
+def queue_marked(spark, sf_dir):
+    """The queue after its oldest months are done: all their pending events are."""
+    queue = standins.load(spark, sf_dir)["canonical_rebuild_queue"].withColumn("processed_at", F.col("processed_at").cast("timestamp_ntz"))
+    return winners.mark_processed(queue, winners.drain(queue), F.expr(_NOW)).select("queue_id", F.col("processed_at").isNotNull().alias("processed"))
+
+
 # ---- serving views and dashboards -------------------------------------------------------------------------------
 
 _SEV = "sev AS (SELECT f.*, r.submission_id, r.rule_set_id, r.started_at AS validation_started_at, r.ended_at AS validation_ended_at, r.status AS validation_run_status, r.outcome AS validation_outcome, k.name AS rule_name, k.rule_kind, coalesce(b.severity_override, k.default_severity) AS severity, coalesce(b.threshold_type_override, k.default_threshold_type) AS threshold_type, coalesce(b.threshold_value_override, k.default_threshold_value) AS threshold_value FROM validation_finding f JOIN validation_run r USING (validation_run_id) JOIN validation_rule k USING (rule_id) LEFT JOIN validation_rule_set_rule b ON b.rule_set_id = r.rule_set_id AND b.rule_id = f.rule_id)"
