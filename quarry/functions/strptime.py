@@ -10,6 +10,7 @@ when the format is compiled.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cache
 
@@ -69,7 +70,17 @@ def parse(text: Column, given: str) -> Column:
     """The timestamp without a zone that `text` is in the format; null for other text."""
     fmt = compile_format(given)
     # one match gives all groups, behind an empty first element; text that doesn't match stays a single one
-    groups = F.split(F.regexp_replace(text, F.lit(fmt.pattern), F.lit("".join(f"{_SEPARATOR}${i + 1}" for i in range(len(fmt.parts))) or _SEPARATOR)), _SEPARATOR)
+    to = "".join(f"{_SEPARATOR}${i + 1}" for i in range(len(fmt.parts))) or _SEPARATOR
+    matched = lambda t: F.split(F.regexp_replace(t, F.lit(fmt.pattern), F.lit(to)), _SEPARATOR)
+    # each part refers to the groups: as the variable of a lambda they are made once a value, and not once a reference
+    return _bound(text, lambda t: _bound(matched(t), lambda groups: _made(t, groups, fmt)))
+
+
+def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _made(text: Column, groups: Column, fmt: Format) -> Column:
     of = {part: F.get(groups, F.lit(i + 1)) for i, part in enumerate(fmt.parts)}
     number = lambda part, missing: of[part].try_cast("int") if part in of else F.lit(missing)
     fits = [F.size(groups) == max(len(fmt.parts), 1) + 1, F.get(groups, F.lit(0)) == "", ~text.contains(_SEPARATOR)]

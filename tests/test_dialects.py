@@ -38,6 +38,13 @@ def test_null_dates(spark):
     assert spark.sql("SELECT CAST(NULL AS STRING) AS v").select(strptime.parse(F.col("v"), "%Y")).first()[0] is None
 
 
+@pytest.mark.parametrize("given", ["%Y%m%d", "%Y-%m-%d %I:%M %p", "%H:%M:%S.%f"])
+def test_a_text_is_made_and_matched_once(spark, given):
+    """Whatever number of parts refers to the groups."""
+    plan = spark.range(1).select(strptime.parse(F.reverse(F.col("id").cast("string")), given).alias("at"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace(") == 1 and plan.count("reverse(") == 1
+
+
 def test_patterns_equal_duckdb(spark):
     df = spark.createDataFrame([(v,) for v in TEXTS], "v string")
     got = df.select("v", *(F.col("v").rlike(re2.translate(p)).alias(f"p{i}") for i, p in enumerate(PATTERNS))).collect()
