@@ -101,7 +101,7 @@ def gram_codes(text: np.ndarray, bounds: np.ndarray, depth: int) -> np.ndarray:
 
 @dataclass(frozen=True)
 class TreeModel:
-    """Sorted node keys of each depth and the mixture's probability of a one where a node is the deepest on the path."""
+    """Sorted node keys of each depth and the mixture's probability of a one, as `_small`, where a node is the deepest on the path."""
 
     depth: int
     keys: tuple[np.ndarray, ...]
@@ -140,7 +140,7 @@ class TreeModel:
                     hit = keys[at] == key
                     one[todo[hit]] = self.ones[d][at[hit]]
                     todo = todo[~hit]
-            total += np.log10(np.where(bit == 1, one, 1 - one))
+            total += np.log10(np.where((bit == 1) == (one > 0), np.abs(one), 1 - np.abs(one)))
         return total
 
 
@@ -172,6 +172,11 @@ def _nodes(codes: np.ndarray, counts: np.ndarray, d: int) -> tuple[np.ndarray, n
     return key[order], np.concatenate(a)[order], np.concatenate(b)[order]
 
 
+def _small(one: np.ndarray) -> np.ndarray:
+    """Probabilities of a one in 32 bits: those above a half less 1, since 1 - 1e-8 would be stored as 1, and a zero scored minus infinity."""
+    return np.where(one > 0.5, one - 1, one).astype(np.float32)
+
+
 def _parents(keys: np.ndarray, d: int) -> np.ndarray:
     """Keys of the nodes in contexts a byte shorter than those of depth d."""
     return node_key(keys >> np.uint64(8), d - 1, keys & np.uint64(255))
@@ -199,7 +204,7 @@ class Part:
             if d:
                 g, m = g[self.up[d]], m[self.up[d]]
             estimate = (self.ones[d] + 0.5) / (self.zeros[d] + self.ones[d] + 1.0)
-            final.append((g + m * estimate).astype(np.float32))
+            final.append(_small(g + m * estimate))
             g, m = g + m * self.share[d] * estimate, m * (1 - self.share[d])
         return final, g, m
 

@@ -231,6 +231,16 @@ def test_language_model_beats_the_base_on_held_out_texts(spark):
     assert 1.5 < out["bits_per_byte"].median() < 2.5
 
 
+@pytest.mark.parametrize("n", [10, 10**8, 10**11])
+@pytest.mark.parametrize("symbol", [0, 255])
+def test_what_was_never_seen_among_very_many_has_a_finite_score(n, symbol):
+    """Even where 32 bits can't tell the probability of the rest from 1."""
+    model = langmodel.build([(np.array([symbol], np.uint64), np.array([float(n)]))], 0)
+    seen, other = model.log10_of(np.array([symbol, symbol ^ 255], np.uint64))
+    assert other == pytest.approx(math.log10(0.5 / (n + 1)) + 7 * math.log10(0.5), rel=1e-6)
+    assert seen == pytest.approx(8 * math.log1p(-0.5 / (n + 1)) / math.log(10), rel=1e-3)
+
+
 def test_language_model_of_nothing(spark, docs, odd):
     out = langmodel.score(odd, odd.limit(0), depth=2).collect()
     assert len(out) == 8 and all(r["train_tokens"] == 0 and r["n_known"] == 0 for r in out)
