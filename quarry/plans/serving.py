@@ -31,20 +31,26 @@ def _failed(severity: str) -> Column:
     return F.sum(F.when((F.col("passed") == F.lit(False)) & (F.col("severity") == severity), 1).otherwise(0))
 
 
+def _latest_run(df: DataFrame, number: str) -> DataFrame:
+    """The latest run of each submission. Runs of one are few and apart, so they meet before the maxima: partial ones would be sorted for nothing."""
+    return latest_per_key(df.repartition("submission_id"), ["submission_id"], ["started_at", number])
+
+
 def submission_overview(t: Tables) -> DataFrame:
     # one version for each layout: as an aggregate, so that the planner knows it
     s, layout = t["submission"], t["layout_registry"].groupBy("layout_id").agg(F.max("layout_version").alias("layout_version"))
-    parse = latest_per_key(t["parse_run"].select("submission_id", "parse_run_id", "status", "started_at", "ended_at"), ["submission_id"], ["started_at", "parse_run_id"])
+    parse = _latest_run(t["parse_run"].select("submission_id", "parse_run_id", "status", "started_at", "ended_at"), "parse_run_id")
     parse = parse.withColumnsRenamed({"status": "parse_status", "started_at": "parse_started_at", "ended_at": "parse_ended_at"})
     totals = t["parse_file_metrics"].groupBy("parse_run_id").agg(*(F.sum(c).alias(f"parse_{c}") for c in ("rows_read", "rows_written", "rows_rejected")))
-    run = latest_per_key(t["validation_run"].select("submission_id", "validation_run_id", "status", "outcome", "started_at", "ended_at", "total_rows"), ["submission_id"], ["started_at", "validation_run_id"])
+    run = _latest_run(t["validation_run"].select("submission_id", "validation_run_id", "status", "outcome", "started_at", "ended_at", "total_rows"), "validation_run_id")
     run = run.withColumnsRenamed({"status": "validation_run_status", "outcome": "validation_outcome", "started_at": "validation_started_at", "ended_at": "validation_ended_at", "total_rows": "validation_total_rows"})
     counts = _severity(t).groupBy("validation_run_id").agg(_failed("HARD").alias("hard_failed_rules"), _failed("SOFT").alias("soft_failed_rules"))
-    gold = latest_per_key(t["submitter_gold_build"].select("submission_id", "submitter_gold_build_id", "status", "started_at", "ended_at"), ["submission_id"], ["started_at", "submitter_gold_build_id"])
+    gold = _latest_run(t["submitter_gold_build"].select("submission_id", "submitter_gold_build_id", "status", "started_at", "ended_at"), "submitter_gold_build_id")
     gold = gold.withColumnsRenamed({"status": "submitter_gold_status", "started_at": "submitter_gold_started_at", "ended_at": "submitter_gold_ended_at"})
     wins = t["submitter_month_pointer"].groupBy(F.col("winning_submission_id").alias("submission_id")).agg(F.count("*").alias("wins"))
-    j = s.join(layout, "layout_id", "left").join(parse, "submission_id", "left").join(totals, "parse_run_id", "left").join(run, "submission_id", "left").join(counts, "validation_run_id", "left")
-    j = j.join(gold, "submission_id", "left").join(wins, "submission_id", "left")
+    # what lies by submission comes first, so that its rows move once for all of it, and once more for each kind of run
+    j = s.join(layout, "layout_id", "left").join(parse, "submission_id", "left").join(run, "submission_id", "left").join(gold, "submission_id", "left").join(wins, "submission_id", "left")
+    j = j.join(totals, "parse_run_id", "left").join(counts, "validation_run_id", "left")
     return j.select(
         "submission_id", "submitter_id", "state", "file_type", "layout_id", "layout_version", "coverage_start_month", "coverage_end_month", "received_at", F.col("status").alias("submission_status"),
         "parse_run_id", "parse_status", "parse_started_at", "parse_ended_at", "parse_rows_read", "parse_rows_written", "parse_rows_rejected", "validation_run_id", "validation_run_status",

@@ -62,3 +62,14 @@ def test_grain_of_views(spark):
 def test_unused_joins_are_removed(spark):
     plan = serving.submission_overview(standins.load(spark, SF)).groupBy("submission_status").count()._jdf.queryExecution().optimizedPlan().toString()
     assert "Join" not in plan
+
+
+def test_submissions_move_once_for_what_lies_by_submission(spark):
+    """One exchange of the submissions and one of each kind of run, before its latest is found."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = serving.submission_overview(standins.load(spark, SF))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning(submission_id#") == 4
+    assert plan.count("REPARTITION_BY_COL") == 3
